@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Iterable
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # possessive runs never backtrack; a bare \w is ASCII-only in the JVM
@@ -48,33 +49,40 @@ def _fold_rule(alphabet: frozenset[str]) -> tuple[str, str, tuple[tuple[str, str
     return "".join(source + removed), "".join(target), tuple(longer)
 
 
-def fold_for_search(text: Column, terms: Iterable[str]) -> Column:
-    """Lower-case and accent-fold ``text`` so that ``terms`` can be searched in it.
+def add_folded(df: DataFrame, column: str, terms: Iterable[str], name: str) -> DataFrame:
+    """Lower-case and accent-fold ``column`` so that ``terms`` can be searched in it.
 
-    Characters that cannot take part in any match are left as they are.
+    Characters that cannot take part in any match are left as they are. The steps are
+    separate projections, so each is computed once per row; pure ASCII text (as long in
+    bytes as in characters) skips all of them.
     """
     source, target, longer = _fold_rule(frozenset("".join(terms)))
-    folded = F.translate(F.lower(text), source, target)
+    folded = F.col(name)
+    ascii_only = F.octet_length(folded) == F.length(folded)
+    df = df.withColumn(name, F.lower(column))
+    df = df.withColumn(name, F.when(ascii_only, folded).otherwise(F.translate(folded, source, target)))
     if not longer:
-        return folded
-    rare = "[" + "".join(ch for ch, _ in longer) + "]"
+        return df
+    rare = "".join(ch for ch, _ in longer)
+    without = F.translate(folded, rare, "")
     table = F.create_map(*[F.lit(part) for pair in longer for part in pair])
     spelled_out = F.array_join(
         F.transform(F.split(folded, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
     )
-    return F.when(folded.rlike(rare), spelled_out).otherwise(folded)
+    plain = ascii_only | (F.length(without) == F.length(folded))
+    return df.withColumn(name, F.when(plain, folded).otherwise(spelled_out))
 
 
 def occurrences(text: Column, term: str) -> Column:
     """Non-overlapping substring count; also counts inside longer words."""
-    removed = F.length(text) - F.length(F.replace(text, F.lit(term), F.lit("")))
-    return (removed / len(term)).cast("int")
+    return F.regexp_count(text, F.lit(re.escape(term)))
 
 
 def contains_any(text: Column, terms: Iterable[str]) -> Column:
+    """1 when any term occurs. Counts shared with other features are computed once."""
     found = F.lit(False)
     for term in terms:
-        found = found | F.contains(text, F.lit(term))
+        found = found | (occurrences(text, term) > 0)
     return found.cast("int")
 
 

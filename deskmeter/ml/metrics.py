@@ -83,25 +83,28 @@ def minmax(df: DataFrame, column: str, name: str = "score") -> DataFrame:
 
 
 def agreement(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """Share of rows two models label alike, and the differences of F1 and AUC (right - left)."""
+    """One row: share of rows two models label alike, F1 and AUC of both, and right - left."""
     both = left.select(key, F.col("y_pred").alias("_a")).join(
         right.select(key, F.col("y_pred").alias("_b")), key
     )
     same = both.agg(round_binary(F.avg((F.col("_a") == F.col("_b")).cast("int")), 4).alias("agreement"))
-    scores = left.withColumn("model", F.lit("left")).unionByName(
-        right.withColumn("model", F.lit("right")), allowMissingColumns=True
+    columns = ["y_true", "score", "y_pred"]
+    scores = left.select(*columns, F.lit("left").alias("model")).unionByName(
+        right.select(*columns, F.lit("right").alias("model"))
+    )
+    sides = evaluate(scores).agg(*[
+        F.max(F.when(F.col("model") == side, F.col(name))).alias(f"{name}_{side}")
+        for name in ("f1", "roc_auc")
+        for side in ("left", "right")
+    ])
+    return sides.select(
+        same.scalar().alias("agreement"),
+        "*",
+        *[
+            round_binary(F.col(f"{name}_right") - F.col(f"{name}_left"), 4).alias(f"diff_{name}")
+            for name in ("f1", "roc_auc")
+        ],
     )
-    measured = evaluate(scores.select("model", "y_true", "score", "y_pred"))
-
-    def difference(name: str):
-        def side(which: str):
-            return F.max(F.when(F.col("model") == which, F.col(name)))
-
-        return round_binary(side("right") - side("left"), 4)
-
-    return measured.agg(
-        difference("f1").alias("diff_f1"), difference("roc_auc").alias("diff_roc_auc")
-    ).select(same.scalar().alias("agreement"), "diff_f1", "diff_roc_auc")
 
 
 def champion(metrics: DataFrame, order: list[str] = domain.CANDIDATE_MODELS) -> DataFrame:

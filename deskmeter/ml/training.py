@@ -27,12 +27,15 @@ class Prepared:
     split: DataFrame
 
 
-def prepare(ml: DataFrame, exact: bool = True, seed: int = domain.SEED) -> Prepared:
+def prepare(ml: DataFrame, exact: bool = True, seed: int = domain.SEED, stored: bool = False) -> Prepared:
     """Split, fit the encoders and build the matrix.
 
-    The split table is checkpointed: every learner reads it, and all of them must see the
-    same rows on the same side.
+    The intermediate tables are checkpointed because each is read several times: the input
+    unless it is ``stored`` already, the split (all learners must see the same rows on the
+    same side) and the matrix.
     """
+    if not stored:
+        ml = reliable_checkpoint(ml)
     if exact:
         split = stratified_split(ml, domain.TARGET, seed=seed)
     else:
@@ -86,9 +89,11 @@ class Outcome:
     roc: DataFrame
 
 
-def train_evaluate(ml: DataFrame, exact: bool = True, seed: int = domain.SEED) -> Outcome:
-    """The whole training step. Six metric rows reach the driver, predictions never do."""
-    data = prepare(ml, exact, seed)
+def train_evaluate(
+    ml: DataFrame, exact: bool = True, seed: int = domain.SEED, stored: bool = False
+) -> Outcome:
+    """The whole training step. Only the winner's name reaches the driver."""
+    data = prepare(ml, exact, seed, stored)
     candidates = candidate_scores(data)
     scores = reliable_checkpoint(long_scores({**baseline_scores(data), **candidates}))
     measured = reliable_checkpoint(metrics.evaluate(scores))

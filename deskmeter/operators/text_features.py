@@ -38,11 +38,6 @@ def keyword_features(
     }
 
 
-def with_folded(df: DataFrame, body: str, terms: list[str], name: str = "_folded") -> DataFrame:
-    """Fold once per row; the optimizer keeps it as its own projection."""
-    return df.withColumn(name, tx.fold_for_search(F.coalesce(F.col(body), F.lit("")), terms))
-
-
 def text_features(
     messages: DataFrame,
     key: str = "ticket_id",
@@ -57,7 +52,7 @@ def text_features(
     base = messages.select(
         F.col(key), F.coalesce(F.col(body), F.lit("")).alias("_body")
     )
-    folded = with_folded(base, "_body", terms)
+    folded = tx.add_folded(base, "_body", terms, "_folded")
     # the ratio is reused many times by its rounding rule, so it gets its own projection
     measured = folded.select(
         key,

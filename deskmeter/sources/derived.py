@@ -14,6 +14,7 @@ from deskmeter.ml.split import is_test
 from deskmeter.operators.clean import clean_tickets
 from deskmeter.operators.log_features import log_features_flat
 from deskmeter.operators.text_features import text_features
+from deskmeter.sources.raw import spread_small
 
 # --- fixed values ------------------------------------------------------------
 CHANNELS = ["Email", "Chat", "Telefone", "Formulário Web", "Redes Sociais"]
@@ -93,10 +94,10 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def events_flat(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per line item; some statuses are missing, some empty."""
+def lines_as_events(lines: DataFrame) -> DataFrame:
+    """One event per line item; some statuses are missing, some empty."""
     number = F.col("l_linenumber")
-    return table(spark, folder, "lineitem").select(
+    return lines.select(
         F.col("l_orderkey").alias("ticket_id"),
         F.col("l_shipdate").alias("ts"),
         F.when(F.col("l_returnflag") == "R", "reopened")
@@ -111,6 +112,10 @@ def events_flat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def events_flat(spark: SparkSession, folder: str) -> DataFrame:
+    return lines_as_events(table(spark, folder, "lineitem"))
+
+
 def events_nested(spark: SparkSession, folder: str) -> DataFrame:
     """A list per record without grouping: every word of a document is one event."""
     words = F.split(F.col("text"), " ")
@@ -134,7 +139,7 @@ def tickets_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text(spark: SparkSession, folder: str) -> DataFrame:
-    return text_features(messages(spark, folder))
+    return text_features(spread_small(messages(spark, folder)))
 
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,6 +172,6 @@ def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 __all__ = [
-    "table", "tickets", "messages", "events_flat", "events_nested", "tickets_clean",
+    "table", "tickets", "messages", "lines_as_events", "events_flat", "events_nested", "tickets_clean",
     "text", "logs", "predictions", "raw_tables",
 ]

@@ -13,13 +13,20 @@ class MissingSource(FileNotFoundError):
     """One or more required inputs are absent."""
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when the path (or glob) matches something on its file system."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+def _matches(spark: SparkSession, path: str) -> list:
+    """Status entries of the path (or glob) on whatever file system it names."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(hadoop_path)
-    return found is not None and len(found) > 0
+    return list(fs.globStatus(hadoop_path) or [])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_matches(spark, path))
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    found = _matches(spark, path)
+    return len(found) == 1 and found[0].isFile()
 
 
 def require_sources(spark: SparkSession, paths: dict[str, str]) -> None:

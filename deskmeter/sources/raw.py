@@ -62,3 +62,19 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     if fmt == "csv":
         reader = reader.option("header", True)
     return reader.load(path)
+
+
+SMALL_BYTES = 256 * 1024 * 1024
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before expensive row-wise work.
+
+    A few megabytes of text usually sit in one file with one row group, which is one task.
+    Only inputs whose estimated size is under ``SMALL_BYTES`` are moved; anything larger
+    already comes in enough pieces and is left alone.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SMALL_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
