@@ -36,13 +36,12 @@ def hash_split(
     return df.withColumn("is_test", is_test(F.col(key), fraction, seed).cast("int"))
 
 
-def test_quota(df: DataFrame, label: str, fraction: float) -> DataFrame:
-    """(label, n_rows, n_test): ceil(fraction * n) test rows shared out in proportion.
+def test_quota(counts: DataFrame, label: str, fraction: float) -> DataFrame:
+    """Adds ``n_test`` to (label, n_rows): ceil(fraction * n) rows shared out in proportion.
 
     Each label gets the floor of its share; the rows left over go to the largest
     remainders (lower label first). One row per label, so the small windows are bounded.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))
     everything = Window.partitionBy(F.lit(0))
     share = counts.withColumn("_all", F.sum("n_rows").over(everything)).withColumn(
         "_test", F.ceil(F.col("_all") * F.lit(float(fraction)))
@@ -69,35 +68,34 @@ def stratified_split(
     """Exact stratified split: per label the ``n_test`` smallest digests are test rows.
 
     A window over each label would put a whole label in one task. Instead the digests are
-    counted in 65 536 prefix buckets; buckets that fit wholly under the quota are decided
-    by the counts alone and only the one bucket that straddles it is ranked row by row.
+    counted in 65 536 prefix buckets; the counts tell in which bucket the quota is reached,
+    and only that bucket's rows are ranked to find the label's last test digest. The split
+    itself is then a row-wise comparison. ``key`` must be unique.
     """
-    df = df.withColumn("_digest", digest(F.col(key), seed)).withColumn(
-        "_bucket", F.substring("_digest", 1, 4)
-    )
+    df = df.withColumn("_digest", digest(F.col(key), seed))
+    bucket = F.substring("_digest", 1, 4).alias("_bucket")
+    counts = df.groupBy(label, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    quota = test_quota(counts.groupBy(label).agg(F.sum("_n").alias("n_rows")), label, fraction)
     running = Window.partitionBy(label).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    buckets = (
-        df.groupBy(label, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(running))
-        .join(F.broadcast(test_quota(df, label, fraction)), label)
-    )
-    # first bucket that reaches the quota: one row per label
+    # the first bucket that reaches the quota, and how many of its rows are needed
     edge = (
-        buckets.where(F.col("_upto") >= F.col("n_test"))
+        counts.withColumn("_upto", F.sum("_n").over(running))
+        .join(F.broadcast(quota), label)
+        .where((F.col("_upto") >= F.col("n_test")) & (F.col("n_test") > 0))
         .groupBy(label)
         .agg(F.min(F.struct("_bucket", (F.col("n_test") - F.col("_upto") + F.col("_n")).alias("_take"))).alias("_edge"))
-        .select(label, "_edge.*")
-        .withColumnRenamed("_bucket", "_edge_bucket")
-    )
-    marked = df.join(F.broadcast(edge), label)
-    decided = marked.where(F.col("_bucket") != F.col("_edge_bucket")).withColumn(
-        "is_test", (F.col("_bucket") < F.col("_edge_bucket")).cast("int")
+        .select(label, "_edge._bucket", "_edge._take")
     )
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("_digest", key))
-    straddling = marked.where(F.col("_bucket") == F.col("_edge_bucket")).withColumn(
-        "is_test", (rank <= F.col("_take")).cast("int")
+    # one row per label on every broadcast side below
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_digest"))
+    last = (
+        df.select(label, "_digest", bucket)
+        .join(F.broadcast(edge), [label, "_bucket"])
+        .withColumn("_rank", rank)
+        .where(F.col("_rank") == F.col("_take"))
+        .select(label, F.col("_digest").alias("_last"))
     )
-    return decided.unionByName(straddling).drop("_digest", "_bucket", "_edge_bucket", "_take")
+    chosen = F.coalesce((F.col("_digest") <= F.col("_last")).cast("int"), F.lit(0))
+    return df.join(F.broadcast(last), label, "left").withColumn("is_test", chosen).drop("_digest", "_last")

@@ -199,21 +199,26 @@ def _high_risk(mart: DataFrame, selected: dict) -> DataFrame:
     return apply_filters(mart, **selected).where(F.col("faixa_risco") == domain.RISK_BANDS[0])
 
 
-_QUEUE_ORDER = (F.desc("proba_breach"), F.asc("ticket_id"))
+def _queue_heads(mart: DataFrame, n: int, selected: dict) -> DataFrame:
+    """The n high-risk rows with the highest scores; equal scores go by ticket id."""
+    high = _high_risk(mart, selected)
+    return top_n(high, n, F.desc("proba_breach"), F.asc("ticket_id")).withColumn(
+        "prob_violacao", round_scaled(F.col("proba_breach"), 3)
+    )
+
+
 _TOP_COLUMNS = (
-    "ticket_id", "priority", "category", "channel", "product", "customer_tier",
-    round_scaled(F.col("proba_breach"), 3).alias("prob_violacao"),
+    "ticket_id", "priority", "category", "channel", "product", "customer_tier", "prob_violacao",
 )
 
 
 def top_risk(mart: DataFrame, n: int = 12, **selected) -> DataFrame:
-    """The n riskiest tickets; equal scores are resolved by ticket id."""
-    return top_n(_high_risk(mart, selected), n, *_QUEUE_ORDER).select(*_TOP_COLUMNS)
+    return _queue_heads(mart, n, selected).select(*_TOP_COLUMNS)
 
 
 def top_risk_list(mart: DataFrame, n: int = 12, **selected) -> DataFrame:
     """The same rows as one array of n structs, in queue order."""
-    rows = top_n(_high_risk(mart, selected), n, *_QUEUE_ORDER).select(
+    rows = _queue_heads(mart, n, selected).select(
         F.struct(
             -F.col("proba_breach"), "ticket_id", F.struct(*_TOP_COLUMNS).alias("row")
         ).alias("entry")
@@ -224,13 +229,13 @@ def top_risk_list(mart: DataFrame, n: int = 12, **selected) -> DataFrame:
 
 
 def risk_queue(mart: DataFrame, n: int = 50, **selected) -> DataFrame:
-    return top_n(_high_risk(mart, selected), n, *_QUEUE_ORDER).select(
+    return _queue_heads(mart, n, selected).select(
         "ticket_id",
         F.col("priority").alias("prioridade"),
         F.col("category").alias("categoria"),
         F.col("product").alias("produto"),
         F.col("customer_tier").alias("tier"),
-        round_scaled(F.col("proba_breach"), 3).alias("prob_violacao"),
+        "prob_violacao",
         "faixa_risco",
     )
 

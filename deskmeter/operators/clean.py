@@ -10,13 +10,13 @@ from deskmeter.functions import ticket
 
 
 # everything Unicode counts as white space, not only blanks
-_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
+_SPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def trim_categoricals(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Strip white space around every categorical. A missing value stays NULL."""
     columns = columns or [c for c in domain.CATEGORICAL if c in df.columns]
-    return df.withColumns({c: F.regexp_replace(F.col(c), f"^{_SPACE}|{_SPACE}$", "") for c in columns})
+    return df.withColumns({c: F.btrim(F.col(c), F.lit(_SPACE)) for c in columns})
 
 
 def add_date_parts(df: DataFrame, column: str = "created_at") -> DataFrame:

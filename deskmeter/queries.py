@@ -20,7 +20,7 @@ from deskmeter.operators.log_features import log_features_flat, log_features_nes
 from deskmeter.operators.text_features import text_features
 from deskmeter.plans import models
 from deskmeter.plans.dashboard import dashboard_document
-from deskmeter.session import shared_dir
+from deskmeter.session import reliable_checkpoint, shared_dir
 from deskmeter.sources import derived as src
 from deskmeter.sources.inventory import row_counts
 from deskmeter.sources.raw import spread_small
@@ -99,10 +99,7 @@ def _knn_sides(spark, folder):
 
 def _scores(spark, folder):
     """Four simple classifiers on the holdout: (model, id, y_true, score, y_pred)."""
-    held = src.predictions(spark, folder).join(
-        src.tickets_clean(spark, folder).select("ticket_id", "priority", "backlog_at_creation"),
-        "ticket_id",
-    )
+    held = src.predictions(spark, folder, keep=("priority", "backlog_at_creation"))
     proba, backlog = F.col("proba_breach"), F.col("backlog_at_creation") / F.lit(100.0)
     urgent = F.coalesce(F.col("priority").isin(domain.URGENT_PRIORITIES), F.lit(False))
     rules = {
@@ -302,7 +299,7 @@ def dq_totals(spark, folder):
 # -- feature matrix and splits -------------------------------------------------------------
 @query
 def onehot_categories(spark, folder):
-    df = src.tickets_clean(spark, folder).select("ticket_id", *domain.CATEGORICAL)
+    df = reliable_checkpoint(src.tickets_clean(spark, folder).select("ticket_id", *domain.CATEGORICAL))
     return features.one_hot(df, features.fit_categories(df)).drop(*domain.CATEGORICAL)
 
 
@@ -315,7 +312,7 @@ def feature_moments(spark, folder):
 
 @query
 def zscore_numeric(spark, folder):
-    df = _ml(spark, folder).select("ticket_id", *domain.NUMERIC)
+    df = reliable_checkpoint(_ml(spark, folder).select("ticket_id", *domain.NUMERIC))
     scaled = features.zscore(df, df.where(~is_test(F.col("ticket_id"))))
     return scaled.select("ticket_id", *[round_scaled(F.col(c), 6).alias(c) for c in domain.NUMERIC])
 
@@ -327,7 +324,7 @@ def split_hash(spark, folder):
 
 @query
 def split_exact(spark, folder):
-    df = src.tickets_clean(spark, folder).select("ticket_id", domain.TARGET)
+    df = reliable_checkpoint(src.tickets_clean(spark, folder).select("ticket_id", domain.TARGET))
     return stratified_split(df, domain.TARGET)
 
 

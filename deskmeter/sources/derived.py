@@ -146,8 +146,11 @@ def logs(spark: SparkSession, folder: str) -> DataFrame:
     return log_features_flat(events_flat(spark, folder))
 
 
-def predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """A score for the holdout tickets, in the layout the training step writes."""
+def predictions(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A score for the holdout tickets, in the layout the training step writes.
+
+    ``keep`` adds ticket columns that come from the same scan.
+    """
     df = tickets_clean(spark, folder).where(is_test(F.col("ticket_id")))
     key = F.col("ticket_id")
     score = (key * 37) % 1000 * F.lit(0.0006) + F.col("sla_breach") * F.lit(0.35)
@@ -155,10 +158,12 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
         key,
         F.col("sla_breach").alias("y_true"),
         (F.rint(score * 10000.0) / 10000.0).alias("proba_breach"),
+        *keep,
     ).select(
-        "*",
+        "ticket_id", "y_true", "proba_breach",
         (F.col("proba_breach") >= 0.5).cast("int").alias("y_pred"),
         F.lit("svm").alias("modelo"),
+        *keep,
     )
 
 

@@ -40,12 +40,16 @@ def read_events(spark: SparkSession, path: str, indent: int | None = None) -> Da
         )
     pad = " " * indent
     pieces = spark.read.option("lineSep", f"\n{pad}}},\n{pad}{{").text(path)
-    body = F.regexp_replace(F.col("value"), r"^\s*\[\s*\{", "")
-    body = F.regexp_replace(body, r"\}\s*\]\s*$", "")
-    record = F.from_json(
-        F.concat(F.lit("{"), body, F.lit("}")), schemas.TICKET_EVENTS, {"mode": "FAILFAST"}
+    # only the file's first and last piece still carry the outer brackets
+    body = F.regexp_replace(F.col("value"), rf"^\[\r?\n{pad}\{{", "")
+    body = F.regexp_replace(body, rf"\n{pad}\}}\r?\n\]\s*$", "")
+    # parsed as a list, so that records joined by another separator are kept as well
+    records = F.from_json(
+        F.concat(F.lit("[{"), body, F.lit("}]")),
+        T.ArrayType(schemas.TICKET_EVENTS),
+        {"mode": "FAILFAST"},
     )
-    return pieces.where(F.regexp_replace("value", r"[\s\[\]]+", "") != "").select(record.alias("r")).select("r.*")
+    return pieces.where(F.regexp_replace("value", r"[\s\[\]]+", "") != "").select(F.inline(records))
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
