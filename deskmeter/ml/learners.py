@@ -8,17 +8,23 @@ projected columns behaves like the kernel machine.
 from __future__ import annotations
 
 import sys
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier
+from pyspark.ml.classification import (
+    LinearSVC,
+    MultilayerPerceptronClassificationModel,
+    MultilayerPerceptronClassifier,
+)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskmeter import domain
+from deskmeter.session import shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,30 +47,61 @@ def scale_gamma(train: DataFrame) -> tuple[float, int]:
     return (1.0 / (row["d"] * variance) if variance > 0 else 1.0), row["d"]
 
 
-def fourier_features(
-    df: DataFrame, gamma: float, dimensions: int, components: int = COMPONENTS, seed: int = domain.SEED
-) -> DataFrame:
-    """Replace ``features`` by ``components`` cosines; one matrix product per Arrow batch."""
+def _projection(gamma: float, dimensions: int, components: int, seed: int):
+    """The seeded map from raw rows to cosines, as a function on a batch's matrix."""
     rng = np.random.default_rng(seed)
     weights = rng.normal(0.0, np.sqrt(2.0 * gamma), (dimensions, components))
     shift = rng.uniform(0.0, 2.0 * np.pi, components)
     factor = np.sqrt(2.0 / components)
+
+    def cosines(part: pa.Table) -> np.ndarray:
+        rows = part["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return np.cos(rows.reshape(-1, dimensions) @ weights + shift) * factor
+
+    return cosines
+
+
+def _map_features(df: DataFrame, name: str, kind: T.DataType, build) -> DataFrame:
+    """Replace ``features`` by ``build(part)``, in slices that keep a batch to some megabytes."""
     others = [f for f in df.schema.fields if f.name != "features"]
-    schema = T.StructType([*others, T.StructField("features", T.ArrayType(T.DoubleType()))])
     names = [f.name for f in others]
 
-    def project(batches):
+    def run(batches):
         for batch in batches:
-            # a slice of 1024 rows keeps the projected batch at a few megabytes
             for start in range(0, batch.num_rows, 1024):
                 part = pa.Table.from_batches([batch.slice(start, 1024)])
-                rows = part["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-                cosines = np.cos(rows.reshape(-1, dimensions) @ weights + shift) * factor
-                offsets = pa.array(np.arange(0, cosines.size + 1, components, dtype=np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.array(cosines.ravel()))
-                yield from part.select(names).append_column("features", lists).to_batches()
+                yield from part.select(names).append_column(name, build(part)).to_batches()
+
+    return df.mapInArrow(run, T.StructType([*others, T.StructField(name, kind)]))
+
+
+def fourier_features(
+    df: DataFrame, gamma: float, dimensions: int, components: int = COMPONENTS, seed: int = domain.SEED
+) -> DataFrame:
+    """Replace ``features`` by ``components`` cosines; one matrix product per slice."""
+    cosines = _projection(gamma, dimensions, components, seed)
 
-    return df.mapInArrow(project, schema)
+    def build(part: pa.Table) -> pa.Array:
+        values = cosines(part)
+        offsets = pa.array(np.arange(0, values.size + 1, components, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
+
+    return _map_features(df, "features", T.ArrayType(T.DoubleType()), build)
+
+
+def decision_values(
+    df: DataFrame, gamma: float, dimensions: int, coefficients: np.ndarray, intercept: float, seed: int = domain.SEED
+) -> DataFrame:
+    """Replace ``features`` by the signed ``score`` of a fitted linear model on the cosines.
+
+    The wide projection never leaves the batch.
+    """
+    cosines = _projection(gamma, dimensions, len(coefficients), seed)
+
+    def build(part: pa.Table) -> pa.Array:
+        return pa.array(cosines(part) @ coefficients + intercept)
+
+    return _map_features(df, "score", T.DoubleType(), build)
 
 
 def _vectors(df: DataFrame) -> DataFrame:
@@ -87,12 +124,11 @@ def svm_scores(
         ).fit(projected)
     finally:
         projected.unpersist()
-    scored = model.transform(_vectors(fourier_features(test, gamma, dimensions, components)))
+    scored = decision_values(
+        test, gamma, dimensions, model.coefficients.toArray(), float(model.intercept)
+    )
     return scored.select(
-        "id",
-        F.col("label").alias("y_true"),
-        vector_to_array("rawPrediction")[1].alias("score"),
-        F.col("prediction").cast("int").alias("y_pred"),
+        "id", F.col("label").alias("y_true"), "score", (F.col("score") > 0).cast("int").alias("y_pred")
     )
 
 
@@ -108,7 +144,10 @@ def mlp_scores(
         ).fit(vectors)
     finally:
         vectors.unpersist()
-    scored = model.transform(_vectors(test))
+    # the stored model carries no training summary, hence no reference to this session
+    path = f"{shared_dir(train.sparkSession)}/deskmeter-models/{uuid.uuid4().hex}"
+    model.write().overwrite().save(path)
+    scored = MultilayerPerceptronClassificationModel.load(path).transform(_vectors(test))
     return scored.select(
         "id",
         F.col("label").alias("y_true"),
