@@ -116,14 +116,12 @@ def svm_scores(
     Hinge loss summed with weight C equals the mean loss with regularisation 1 / (C n).
     """
     gamma, dimensions = scale_gamma(train)
-    projected = _vectors(fourier_features(train, gamma, dimensions, components)).persist()
-    try:
-        n = projected.count()
-        model = LinearSVC(
-            featuresCol="features", labelCol="label", maxIter=iterations, regParam=1.0 / (c * n), standardization=False
-        ).fit(projected)
-    finally:
-        projected.unpersist()
+    # the trainer blocks and caches its input itself; caching here would hold it twice
+    projected = _vectors(fourier_features(train, gamma, dimensions, components))
+    model = LinearSVC(
+        featuresCol="features", labelCol="label", maxIter=iterations, regParam=1.0 / (c * train.count()),
+        standardization=False,
+    ).fit(projected)
     scored = decision_values(
         test, gamma, dimensions, model.coefficients.toArray(), float(model.intercept)
     )
@@ -137,13 +135,9 @@ def mlp_scores(
 ) -> DataFrame:
     """(id, y_true, score, y_pred): probability of a breach, class at 0.5."""
     dimensions = train.select(F.size("features").alias("d")).first()["d"]
-    vectors = _vectors(train).persist()
-    try:
-        model = MultilayerPerceptronClassifier(
-            featuresCol="features", labelCol="label", layers=[dimensions, *hidden, 2], maxIter=iterations, seed=seed
-        ).fit(vectors)
-    finally:
-        vectors.unpersist()
+    model = MultilayerPerceptronClassifier(
+        featuresCol="features", labelCol="label", layers=[dimensions, *hidden, 2], maxIter=iterations, seed=seed
+    ).fit(_vectors(train))
     # the stored model carries no training summary, hence no reference to this session
     path = f"{shared_dir(train.sparkSession)}/deskmeter-models/{uuid.uuid4().hex}"
     model.write().overwrite().save(path)

@@ -29,14 +29,18 @@ def log_partials(df: DataFrame, key: str = "ticket_id") -> DataFrame:
     )
 
 
-def finish_partials(df: DataFrame, key: str = "ticket_id") -> DataFrame:
-    """Merge partial rows of one ticket and turn the status count into changes."""
-    merged = df.groupBy(key).agg(
+def merge_partials(df: DataFrame, key: str = "ticket_id") -> DataFrame:
+    """Several partial rows of a ticket as one partial row."""
+    return df.groupBy(key).agg(
         F.sum("n_events").alias("n_events"),
         F.sum("n_statuses").alias("n_statuses"),
         F.max("reopened_from_log").alias("reopened_from_log"),
     )
-    return _changes(merged, key)
+
+
+def finish_partials(df: DataFrame, key: str = "ticket_id") -> DataFrame:
+    """Merged partials with the status count turned into changes."""
+    return _changes(merge_partials(df, key), key)
 
 
 def log_features_flat(df: DataFrame, key: str = "ticket_id") -> DataFrame:

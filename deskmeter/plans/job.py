@@ -10,6 +10,7 @@ its stage and a repeated one gives the same tables.
 from __future__ import annotations
 
 import argparse
+import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -27,6 +28,7 @@ from deskmeter.plans import models
 from deskmeter.plans.dashboard import dashboard_document
 from deskmeter.session import get_session
 from deskmeter.sinks.publish import Target, materialise_view, publish, write_document
+from deskmeter.sources.raw import estimated_bytes
 from deskmeter.sources.inventory import check_schema, present_sources, require_sources
 
 RAW_FILES = {
@@ -35,7 +37,7 @@ RAW_FILES = {
     "events": "ticket_events.json",
 }
 RAW_TABLES = ("tickets_clean", "text_features", "log_features", "predictions")
-BUCKETS = 8
+BUCKET_BYTES = 512 * 1024 * 1024
 
 
 @dataclass
@@ -44,7 +46,7 @@ class Job:
     raw: str
     out: str
     events_indent: int | None = None
-    buckets: int = BUCKETS
+    buckets: int | None = None
     exact_split: bool = True
 
     def __post_init__(self) -> None:
@@ -103,14 +105,23 @@ class Job:
         on the ticket so that the fact's joins need no exchange."""
         target = target or Target("table", "raw")
         paths = {name: self._path("processed", name) for name in RAW_TABLES}
+        tables = {n: self.spark.read.parquet(p) for n, p in present_sources(self.spark, paths).items()}
+        bucket = ("ticket_id", self._bucket_count(tables)) if target.fmt == "table" and tables else None
         loaded = {}
-        for name, path in present_sources(self.spark, paths).items():
+        for name, df in tables.items():
             started = time.monotonic()
-            bucket = ("ticket_id", self.buckets) if target.fmt == "table" else None
-            loaded[name] = publish(self.spark.read.parquet(path), name, target, bucket=bucket)
+            loaded[name] = publish(df, name, target, bucket=bucket)
             self.report.append(("load", name, loaded[name], time.monotonic() - started))
         return loaded
 
+    def _bucket_count(self, tables: dict[str, DataFrame]) -> int:
+        """One count for all tables, so that they line up: by the size of the largest one."""
+        if self.buckets:
+            return self.buckets
+        largest = max(estimated_bytes(df) for df in tables.values())
+        floor = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(floor, math.ceil(largest / BUCKET_BYTES))
+
     def _raw_tables(self) -> dict[str, DataFrame]:
         """Catalogue tables when this session knows them, else the stored files."""
         return {
@@ -171,7 +182,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--raw", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--events-indent", type=int, default=None)
-    parser.add_argument("--buckets", type=int, default=BUCKETS)
+    parser.add_argument("--buckets", type=int, default=None)
     args = parser.parse_args(argv)
     job = Job(get_session(), args.raw, args.out, args.events_indent, args.buckets)
     job.run(args.stage).show(100, truncate=False)

@@ -24,6 +24,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(_matches(spark, path))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Full names of everything that matches a glob."""
+    return [status.getPath().toString() for status in _matches(spark, pattern)]
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     found = _matches(spark, path)
     return len(found) == 1 and found[0].isFile()

@@ -68,6 +68,11 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     return reader.load(path)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; for a plain scan that is the size of the files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 SMALL_BYTES = 256 * 1024 * 1024
 
 
@@ -78,7 +83,6 @@ def spread_small(df: DataFrame) -> DataFrame:
     Only inputs whose estimated size is under ``SMALL_BYTES`` are moved; anything larger
     already comes in enough pieces and is left alone.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SMALL_BYTES:
+    if estimated_bytes(df) > SMALL_BYTES:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from deskmeter.operators.log_features import finish_partials, log_partials
-from deskmeter.sources.inventory import is_file
+from deskmeter.operators.log_features import finish_partials, log_partials, merge_partials
+from deskmeter.sources.inventory import is_file, matching
 
 
 def stream_files(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -44,9 +44,37 @@ def start_log_partials(events: DataFrame, state: str, key: str = "ticket_id") ->
     )
 
 
+def _folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the finished ``prefix=<n>`` folders below ``path``."""
+    done = matching(spark, f"{path}/{prefix}=*/_SUCCESS")
+    return sorted(int(name.split(f"{prefix}=")[1].split("/")[0]) for name in done)
+
+
+def _stored_partials(spark: SparkSession, state: str) -> tuple[DataFrame, int]:
+    """The newest snapshot and the batches after it, and the number of the last batch."""
+    snapshots = _folders(spark, f"{state}/snapshots", "upto")
+    upto = snapshots[-1] if snapshots else -1
+    batches = [b for b in _folders(spark, f"{state}/partials", "batch") if b > upto]
+    paths = [f"{state}/partials/batch={b}" for b in batches]
+    if snapshots:
+        paths.append(f"{state}/snapshots/upto={upto}")
+    return spark.read.parquet(*paths), max([upto, *batches])
+
+
+def compact_partials(spark: SparkSession, state: str, key: str = "ticket_id") -> int:
+    """Fold all partials so far into one snapshot, one row per ticket.
+
+    Readers use a snapshot only when it is complete and skip the batches inside it, so the
+    cost of reading follows the number of tickets instead of the number of runs.
+    """
+    stored, last = _stored_partials(spark, state)
+    merge_partials(stored, key).write.mode("overwrite").parquet(f"{state}/snapshots/upto={last}")
+    return last
+
+
 def read_log_features(spark: SparkSession, state: str, key: str = "ticket_id") -> DataFrame:
     """Log features over everything streamed so far."""
-    return finish_partials(spark.read.parquet(f"{state}/partials").drop("batch"), key)
+    return finish_partials(_stored_partials(spark, state)[0], key)
 
 
 def daily_counts(

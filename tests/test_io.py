@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from deskmeter import schemas, sources
+from deskmeter.operators.log_features import log_features_flat
 from deskmeter.plans import models
 from deskmeter.sinks import publish as sink
 from deskmeter.sinks.publish import Target
@@ -144,15 +145,19 @@ def test_stream_over_several_batches_equals_batch_and_resumes(spark, tmp_path):
         stream = incremental.stream_files(spark, str(feed) + "/*", files_per_trigger=1)
         incremental.start_log_partials(stream, state).awaitTermination()
 
+    def streamed():
+        return {tuple(r) for r in incremental.read_log_features(spark, state).collect()}
+
     drop(rows[:20], "1")
     drop(rows[20:40], "2")
     run()
+    before = streamed()
+    assert incremental.compact_partials(spark, state) == 1 and streamed() == before
     drop(rows[40:], "3")
     run()
-    from deskmeter.operators.log_features import log_features_flat
-
-    got = {tuple(r) for r in incremental.read_log_features(spark, state).collect()}
-    assert got == {tuple(r) for r in log_features_flat(whole).collect()}
+    whole_log = {tuple(r) for r in log_features_flat(whole).collect()}
+    assert streamed() == whole_log
+    assert incremental.compact_partials(spark, state) == 2 and streamed() == whole_log
     assert len(list((tmp_path / "state" / "partials").glob("batch=*"))) == 3
 
 
