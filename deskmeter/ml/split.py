@@ -13,6 +13,8 @@ from pyspark.sql.window import Window
 
 from deskmeter import domain
 
+MAX_LABELS = 1000
+
 
 def digest(key: Column, seed: int = domain.SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
@@ -58,6 +60,22 @@ def test_quota(counts: DataFrame, label: str, fraction: float) -> DataFrame:
     )
 
 
+def _bounded(rows: DataFrame, label: str) -> list:
+    """One row per label on the driver; a column with more labels than that is no label."""
+    found = rows.limit(MAX_LABELS + 1).collect()
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"{label} has more than {MAX_LABELS} values, too many to stratify by")
+    return found
+
+
+def _by_label(label: str, values: dict) -> Column:
+    """A literal per label, NULL for labels that have none."""
+    chosen = F.lit(None)
+    for name, value in values.items():
+        chosen = F.when(F.col(label).eqNullSafe(F.lit(name)), F.lit(value)).otherwise(chosen)
+    return chosen
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
@@ -69,33 +87,35 @@ def stratified_split(
 
     A window over each label would put a whole label in one task. Instead the digests are
     counted in 65 536 prefix buckets; the counts tell in which bucket the quota is reached,
-    and only that bucket's rows are ranked to find the label's last test digest. The split
-    itself is then a row-wise comparison. ``key`` must be unique.
+    and only that bucket's rows are ranked to find the label's last test digest. What comes
+    back is one digest per label, so the split itself is a row-wise comparison without join
+    or exchange. ``key`` must be unique. Reads ``df`` twice before returning.
     """
-    df = df.withColumn("_digest", digest(F.col(key), seed))
-    bucket = F.substring("_digest", 1, 4).alias("_bucket")
-    counts = df.groupBy(label, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    df = df.withColumn("_digest", digest(F.col(key), seed)).withColumn(
+        "_bucket", F.substring("_digest", 1, 4)
+    )
+    counts = df.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     quota = test_quota(counts.groupBy(label).agg(F.sum("_n").alias("n_rows")), label, fraction)
     running = Window.partitionBy(label).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     # the first bucket that reaches the quota, and how many of its rows are needed
-    edge = (
-        counts.withColumn("_upto", F.sum("_n").over(running))
-        .join(F.broadcast(quota), label)
-        .where((F.col("_upto") >= F.col("n_test")) & (F.col("n_test") > 0))
-        .groupBy(label)
-        .agg(F.min(F.struct("_bucket", (F.col("n_test") - F.col("_upto") + F.col("_n")).alias("_take"))).alias("_edge"))
-        .select(label, "_edge._bucket", "_edge._take")
+    reached = counts.withColumn("_upto", F.sum("_n").over(running)).join(
+        quota.withColumnRenamed(label, "_label"), F.col(label).eqNullSafe(F.col("_label"))
+    ).where((F.col("_upto") >= F.col("n_test")) & (F.col("n_test") > 0))
+    take = F.col("n_test") - F.col("_upto") + F.col("_n")
+    edges = _bounded(
+        reached.groupBy(label).agg(F.min(F.struct("_bucket", take.alias("_take"))).alias("e")), label
     )
-    # one row per label on every broadcast side below
+    bucket_of = _by_label(label, {r[label]: r["e"]["_bucket"] for r in edges})
+    take_of = _by_label(label, {r[label]: r["e"]["_take"] for r in edges})
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_digest"))
     last = (
-        df.select(label, "_digest", bucket)
-        .join(F.broadcast(edge), [label, "_bucket"])
+        df.where(F.col("_bucket") == bucket_of)
+        .select(label, "_digest")
         .withColumn("_rank", rank)
-        .where(F.col("_rank") == F.col("_take"))
-        .select(label, F.col("_digest").alias("_last"))
+        .where(F.col("_rank") == take_of)
     )
-    chosen = F.coalesce((F.col("_digest") <= F.col("_last")).cast("int"), F.lit(0))
-    return df.join(F.broadcast(last), label, "left").withColumn("is_test", chosen).drop("_digest", "_last")
+    last_of = _by_label(label, {r[label]: r["_digest"] for r in _bounded(last, label)})
+    chosen = F.coalesce((F.col("_digest") <= last_of).cast("int"), F.lit(0))
+    return df.withColumn("is_test", chosen).drop("_digest", "_bucket")

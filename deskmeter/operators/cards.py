@@ -240,7 +240,8 @@ def risk_queue(mart: DataFrame, n: int = 50, **selected) -> DataFrame:
     )
 
 
-# card title -> (model it reads, query); all but the confusion matrix take filters
+# The card titles. Title -> (model it reads, query); all but the confusion
+# matrix take filters.
 CARDS = {
     "Chamados no período": ("fct_tickets", ticket_count),
     "Taxa de violação de SLA (%)": ("fct_tickets", breach_rate),

@@ -45,12 +45,13 @@ def cumulative_desc(
     """Running totals from the highest ``key`` down, per group, plus the group totals.
 
     ``df`` holds one row per (``by``, ``key``). For each name in ``sums`` the result gains
-    ``cum_<name>`` (this row included) and ``all_<name>``. ``by`` must be low-cardinality
-    (here: the model name), because one list of cut points per group is broadcast.
+    ``cum_<name>`` (this row included) and ``all_<name>``. The cut points are quantiles over
+    all rows, one short list whatever the number of groups. Rows and bucket totals meet on
+    (``by``, bucket), the partitioning the window already has.
     """
     fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = df.groupBy(*by).agg(F.percentile_approx(key, fractions, F.lit(1000)).alias("_cuts"))
-    placed = df.join(F.broadcast(cuts), by).withColumn(
+    cuts = df.agg(F.percentile_approx(key, fractions, F.lit(1000)).alias("cuts")).scalar()
+    placed = df.withColumn("_cuts", cuts).withColumn(
         "_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col(key)))
     ).drop("_cuts")
 
@@ -61,6 +62,7 @@ def cumulative_desc(
     )
     local = placed.withColumns({f"cum_{s}": F.sum(s).over(within) for s in sums})
 
+    # at most ``buckets`` rows per group from here on
     above = (
         Window.partitionBy(*by)
         .orderBy(F.col("_bucket").desc())
@@ -74,8 +76,7 @@ def cumulative_desc(
         *[F.coalesce(F.sum(f"_in_{s}").over(above), F.lit(0)).alias(f"_above_{s}") for s in sums],
         *[F.sum(f"_in_{s}").over(whole).alias(f"all_{s}") for s in sums],
     )
-    # at most ``buckets`` rows per group
-    merged = local.join(F.broadcast(offsets), [*by, "_bucket"])
+    merged = local.join(offsets, [*by, "_bucket"])
     return merged.withColumns(
         {f"cum_{s}": F.col(f"cum_{s}") + F.col(f"_above_{s}") for s in sums}
     ).drop("_bucket", *[f"_above_{s}" for s in sums])

@@ -137,9 +137,21 @@ STAGING = [name for name in GRAPH if name.startswith("stg_")]
 MARTS = [name for name in GRAPH if not name.startswith("stg_")]
 
 
-def build_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All twelve models from the four raw tables, lazily."""
+# read by four other models and all cards, so it is worth storing
+SHARED = ("fct_tickets",)
+
+
+def build_all(
+    raw: dict[str, DataFrame], store: Callable[[DataFrame], DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """All twelve models from the four raw tables, lazily.
+
+    With ``store`` (for example a reliable checkpoint) the shared fact is materialised once
+    and its readers start from the stored rows.
+    """
     built = {f"raw.{name}": df for name, df in raw.items()}
     for name, (inputs, function) in GRAPH.items():
         built[name] = function(*[built[i] for i in inputs])
+        if store and name in SHARED:
+            built[name] = store(built[name])
     return {name: built[name] for name in GRAPH}

@@ -75,7 +75,7 @@ def _mart(spark, folder):
 
 
 def _models(spark, folder):
-    return models.build_all(src.raw_tables(spark, folder))
+    return models.build_all(src.raw_tables(spark, folder), store=reliable_checkpoint)
 
 
 def _ml(spark, folder):
