@@ -75,7 +75,10 @@ def _mart(spark, folder):
 
 
 def _models(spark, folder):
-    return models.build_all(src.raw_tables(spark, folder), store=reliable_checkpoint)
+    raw = src.raw_tables(spark, folder)
+    # in the job this is a stored table, written by the training step
+    raw["predictions"] = reliable_checkpoint(raw["predictions"])
+    return models.build_all(raw, store=reliable_checkpoint)
 
 
 def _ml(spark, folder):

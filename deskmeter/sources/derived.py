@@ -119,7 +119,7 @@ def events_flat(spark: SparkSession, folder: str) -> DataFrame:
 def events_nested(spark: SparkSession, folder: str) -> DataFrame:
     """A list per record without grouping: every word of a document is one event."""
     words = F.split(F.col("text"), " ")
-    return table(spark, folder, "documents").select(
+    return spread_small(table(spark, folder, "documents").select("doc_id", "text")).select(
         F.col("doc_id").alias("ticket_id"),
         F.transform(
             words,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from deskmeter import schemas, sources
 from deskmeter.operators.log_features import log_features_flat
 from deskmeter.plans import models
+from deskmeter.session import shared_dir
 from deskmeter.sinks import publish as sink
 from deskmeter.sinks.publish import Target
 from deskmeter.sources import inventory
@@ -164,3 +165,26 @@ def test_stream_over_several_batches_equals_batch_and_resumes(spark, tmp_path):
 def test_models_as_views(spark):
     sink.materialise_view(spark.range(3), "stg_probe")
     assert spark.table("stg_probe").count() == 3 and models.STAGING[0] == "stg_tickets"
+
+
+class _Session:
+    """A session that names no checkpoint folder."""
+
+    def __init__(self, master):
+        self.sparkContext = self
+        self.conf = self
+        self.master = master
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_scratch_folder_is_the_named_one_and_never_guessed_on_a_cluster(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark)).rstrip("/")
+    local = _Session("local[2]")
+    assert shared_dir(local) == shared_dir(local)
+    with pytest.raises(RuntimeError):
+        shared_dir(_Session("yarn"))
