@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from deskmeter.llm.common import table
 from deskmeter.llm.exact_dedup import exact_groups
+from deskmeter.llm.mixing import plan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +32,44 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op9_mixing(spark, folder):
+    return plan(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op9_mixing"] = """
+WITH RECURSIVE rows AS MATERIALIZED (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+  FROM documents),
+sizes AS MATERIALIZED (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS weight
+  FROM rows GROUP BY source),
+level(round, level, capped) AS (
+  SELECT 0, 0.0::DOUBLE, -1::BIGINT
+  UNION ALL
+  SELECT round + 1,
+         (SELECT (sum(source_size) - sum(CASE WHEN weight * level > source_size * 3 THEN source_size * 3 ELSE 0 END))::DOUBLE
+                 / sum(CASE WHEN weight * level > source_size * 3 THEN 0 ELSE weight END) FROM sizes),
+         (SELECT count(*) FILTER (WHERE weight * level > source_size * 3) FROM sizes)
+  FROM level
+  WHERE capped <> (SELECT count(*) FILTER (WHERE weight * level > source_size * 3) FROM sizes)),
+aims AS (
+  SELECT source, source_size,
+         least(weight * (SELECT level FROM level ORDER BY round DESC LIMIT 1), source_size * 3.0::DOUBLE) AS target,
+         ('0x' || substr(md5('mix-1' || coalesce('/' || source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+  FROM sizes),
+ranked AS (
+  SELECT doc_id, r.source, size, source_size, target, u,
+         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+         row_number() OVER (PARTITION BY r.source ORDER BY
+           length(bin(size)) * 4 + ((size >> greatest(length(bin(size)) - 3, 0)) & 3),
+           coalesce(substr(md5(doc_id::VARCHAR), 1, 2), ''), doc_id) AS i
+  FROM rows r JOIN aims a ON r.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size, source_size, target,
+       least(floor(i * rate + u) - floor((i - 1) * rate + u), 3)::BIGINT * size AS taken
+FROM ranked
+"""
