@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskmeter.llm.common import table
 from deskmeter.llm.exact_dedup import exact_groups
 from deskmeter.llm.mixing import plan
+from deskmeter.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +75,8 @@ SELECT doc_id, size, source_size, target,
        least(floor(i * rate + u) - floor((i - 1) * rate + u), 3)::BIGINT * size AS taken
 FROM ranked
 """
+
+
+@query
+def op4_token_counts(spark, folder):
+    return token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
