@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from deskmeter.llm.common import table
 from deskmeter.llm.exact_dedup import exact_groups
 from deskmeter.llm.mixing import plan
+from deskmeter.llm.pii import find_pii
 from deskmeter.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +81,8 @@ FROM ranked
 @query
 def op4_token_counts(spark, folder):
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op2_pii(spark, folder):
+    return find_pii(table(spark, folder, "documents"))
