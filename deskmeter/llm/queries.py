@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmeter.llm.common import table
+from deskmeter.llm.common import crc_mod, table
 from deskmeter.llm.exact_dedup import exact_groups
+from deskmeter.llm.language_id import identify, training_sample
 from deskmeter.llm.mixing import plan
 from deskmeter.llm.pii import find_pii
 from deskmeter.llm.token_counts import token_counts
@@ -86,3 +87,11 @@ def op4_token_counts(spark, folder):
 @query
 def op2_pii(spark, folder):
     return find_pii(table(spark, folder, "documents"))
+
+
+@query
+def op3_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    found = identify(docs, training_sample(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
