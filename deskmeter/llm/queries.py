@@ -14,6 +14,7 @@ from deskmeter.llm.language_id import identify, training_sample
 from deskmeter.llm.mixing import plan
 from deskmeter.llm.pii import find_pii
 from deskmeter.llm.token_counts import token_counts
+from deskmeter.llm.toxicity import fit_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,3 +96,17 @@ def op3_language_id(spark, folder):
     held_out = crc_mod(F.col("doc_id"), 4) == 2
     found = identify(docs, training_sample(docs, ~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def toxicity_model(docs, labels):
+    return fit_toxicity(docs, labels, crc_mod(F.col("doc_id"), 5) != 0)
+
+
+@query
+def op6_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = toxicity_model(docs, table(spark, folder, "labels")).score(docs, ["doc_id"])
+    return scored.select(
+        "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
