@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from deskmeter.llm.common import crc_mod, table
 from deskmeter.llm.exact_dedup import exact_groups
+from deskmeter.llm.jaccard_join import Rule, near_copies
 from deskmeter.llm.language_id import identify, training_sample
 from deskmeter.llm.mixing import plan
 from deskmeter.llm.pii import find_pii
@@ -110,3 +111,9 @@ def op6_toxicity(spark, folder):
         "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_jaccard_join(spark, folder):
+    found = near_copies(table(spark, folder, "documents"), Rule(words=3, p=90, q=100))
+    return found.select("doc_id", "n_shingles", "component_id")
