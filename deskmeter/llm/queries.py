@@ -14,6 +14,7 @@ from deskmeter.llm.jaccard_join import Rule, near_copies
 from deskmeter.llm.language_id import identify, training_sample
 from deskmeter.llm.mixing import plan
 from deskmeter.llm.pii import find_pii
+from deskmeter.llm.substring_dedup import repeats
 from deskmeter.llm.token_counts import token_counts
 from deskmeter.llm.toxicity import fit_toxicity
 
@@ -117,3 +118,8 @@ def op6_toxicity(spark, folder):
 def op7_jaccard_join(spark, folder):
     found = near_copies(table(spark, folder, "documents"), Rule(words=3, p=90, q=100))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op8_substring_dedup(spark, folder):
+    return repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
