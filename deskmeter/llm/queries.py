@@ -16,6 +16,7 @@ from deskmeter.llm.mixing import plan
 from deskmeter.llm.pii import find_pii
 from deskmeter.llm.substring_dedup import repeats
 from deskmeter.llm.token_counts import token_counts
+from deskmeter.llm.topk_search import top_k
 from deskmeter.llm.toxicity import fit_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +124,24 @@ def op7_jaccard_join(spark, folder):
 @query
 def op8_substring_dedup(spark, folder):
     return repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op5_topk_search(spark, folder):
+    return top_k(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+ORACLE["op5_topk_search"] = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
