@@ -14,8 +14,8 @@ nothing. A term whose disclosure reaches ``generalise`` is replaced by its shape
 ``remove`` on it is taken out; only in documents that hold the entity, and only beside it.
 
 Scale: texts without digit or @ never leave Arrow. The first pass stores spans and surroundings, a row
-per document; counts are partial aggregates, and the words of the corpus are counted only for terms
-with evidence (that join broadcasts the terms when Spark finds them small, and else is a sort-merge join).
+per document; counts are partial aggregates, and the words of the corpus are counted, combined before
+their shuffle, only if terms have evidence that their counts beside entities don't rule out.
 Nothing is gathered by entity.
 
 Null and empty texts have no spans. Repeated rows each get their spans and count as documents.
@@ -131,8 +131,8 @@ def _find(window: int):
     return run
 
 
-def disclosure(found: DataFrame, rows: DataFrame, evidence: int = EVIDENCE) -> DataFrame:
-    """(entity, term, disclosure) for the terms seen beside an entity in enough surroundings."""
+def disclosure(found: DataFrame, rows: DataFrame, evidence: int = EVIDENCE, least: float = GENERALISE) -> DataFrame:
+    """(entity, term, disclosure) of at least ``least``, for terms seen beside an entity in enough surroundings."""
     seen = found.select("rid", F.inline("around"))
     pairs = store(
         seen.groupBy("entity", "term")
@@ -141,18 +141,23 @@ def disclosure(found: DataFrame, rows: DataFrame, evidence: int = EVIDENCE) -> D
     )
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("disclosure"))
-    total = found.count()
+    total = F.lit(float(found.count()))
     entities = seen.join(pairs.select("entity").distinct(), "entity", "left_semi").groupBy("entity").agg(
         F.count_distinct("rid").alias("df_entity"))
+    beside = seen.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
+        F.count_distinct("rid").alias("df_term"))
+
+    def rated(rows: DataFrame) -> DataFrame:
+        known = F.log2(total / F.col("df_entity"))
+        pmi = F.log2(total * F.col("df_both") / (F.col("df_entity") * F.greatest("df_term", "df_both")))
+        return rows.withColumn("disclosure", F.when(known > 0, pmi / known).otherwise(F.lit(0.0)))
+
+    # a term has at least the documents in which it is beside some entity: common words go here
+    hopeful = store(rated(pairs.join(entities, "entity").join(beside, "term")).where(F.col("disclosure") >= least).drop("df_term"))
     words = rows.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
-    terms = words.join(store(pairs.select("term").distinct()), "term").groupBy("term").agg(
-        F.count(F.lit(1)).alias("df_term"))
-    known = F.log2(F.lit(float(total)) / F.col("df_entity"))
-    pmi = F.log2(F.lit(float(total)) * F.col("df_both") / (F.col("df_entity") * F.greatest("df_term", "df_both")))
-    return store(
-        pairs.join(entities, "entity").join(terms, "term")
-        .select("entity", "term", F.when(known > 0, pmi / known).otherwise(F.lit(0.0)).alias("disclosure"))
-    )
+    # counted before the join, so that the join sees each term once
+    terms = words.where(F.length("term") >= 3).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
+    return store(rated(hopeful.join(terms, "term")).where(F.col("disclosure") >= least).select("entity", "term", "disclosure"))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -162,7 +167,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(_find(window), f"id {kind}, {_FOUND}")
     found = store(found.withColumn("rid", F.monotonically_increasing_id()))
-    strong = disclosure(found, rows, evidence).where(F.col("disclosure") >= generalise)
+    strong = disclosure(found, rows, evidence, generalise)
     near = found.select("rid", F.inline("around"))
     action = F.when(F.col("disclosure") >= remove, F.lit(ADDED[1])).otherwise(F.lit(ADDED[0]))
     added = (
