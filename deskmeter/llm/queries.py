@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from deskmeter.llm.bpe import encode_digests
 from deskmeter.llm.common import crc_mod, table
 from deskmeter.llm.exact_dedup import exact_groups
 from deskmeter.llm.jaccard_join import Rule, near_copies
@@ -145,3 +146,9 @@ ranked AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op1_byte_bpe(spark, folder):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return encode_digests(table(spark, folder, "documents"), path, pattern)
