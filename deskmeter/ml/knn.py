@@ -61,20 +61,30 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(cross, 0.0)
 
 
+def _rounding(squares: np.ndarray, dimensions: int) -> np.ndarray:
+    """A bound of the error of ``_squared`` for vectors whose squared norms add up to ``squares``."""
+    return 16.0 * np.finfo(float).eps * (dimensions + 4) * squares
+
+
 def block_neighbours(query: np.ndarray, train: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, train row, squared distance) of the k best per query inside one block.
 
     ``train`` is sorted by id, so the row number breaks ties. The matrix product only
-    preselects; what it keeps is measured again directly.
+    preselects, from vectors moved to the middle of the block and with room for its rounding
+    error, which grows with their norms; what it keeps is measured again directly.
     """
+    middle = train.mean(0) if len(train) else 0.0
+    moved, norms = train - middle, ((train - middle) ** 2).sum(1).max(initial=0.0)
     out_q, out_t, out_d = [], [], []
     take = min(k, len(train))
     step = max(1, 4_000_000 // max(1, len(train)))
     for start in range(0, len(query), step):
         part = query[start:start + step]
-        rough = _squared(part, train)
+        near = part - middle
+        rough = _squared(near, moved)
         kth = np.partition(rough, take - 1, axis=1)[:, take - 1]
-        rows, cols = np.nonzero(rough <= (kth + 1e-7 * (1.0 + kth))[:, None])
+        room = 2.0 * 10.0**-DIGITS + _rounding((near * near).sum(1) + norms, train.shape[1])
+        rows, cols = np.nonzero(rough <= (kth + room)[:, None])
         exact = np.empty(len(rows))
         for lo in range(0, len(rows), _SLICE):
             r, c = rows[lo:lo + _SLICE], cols[lo:lo + _SLICE]
@@ -255,6 +265,7 @@ def _other_cells(
         queries.schema["id"], queries.schema["features"], T.StructField("cell", T.IntegerType()),
     ])
     between = np.sqrt(_squared(pivots, pivots))
+    norms = (np.sqrt((pivots**2).sum(1)) + high).max(initial=0.0) ** 2  # no training row is longer
 
     def route(batches):
         for batch in batches:
@@ -265,13 +276,14 @@ def _other_cells(
             d = np.sqrt(d2)
             limit = np.sqrt(table["limit"].to_numpy())
             shell = np.maximum(d - high[None, :], low[None, :] - d)
-            nearest = d2.argmin(1)
-            gap = between[nearest]
-            plane = np.divide(
-                d2 - d2.min(1)[:, None], 2.0 * gap, out=np.zeros_like(d2), where=gap > 0
-            )
-            reach = limit + 1e-6 * (1.0 + np.where(np.isinf(limit), 0.0, limit))
-            wanted = (np.maximum(shell, plane) <= reach[:, None]) & (sizes > 0)[None, :]
+            gap = between[d2.argmin(1)]
+            # distances are resolved to DIGITS decimals of their squares and computed with rounding errors
+            squares = (_rows(table["features"]) ** 2).sum(1) + norms
+            error = _rounding(squares, pivots.shape[1])
+            reach = (np.sqrt(limit * limit + 2.0 * 10.0**-DIGITS) + 2.0 * np.sqrt(error))[:, None]
+            with np.errstate(invalid="ignore"):
+                beyond = np.where(gap > 0, 2.0 * gap * reach + 4.0 * error[:, None], np.inf)
+            wanted = (shell <= reach) & (d2 - d2.min(1)[:, None] <= beyond) & (sizes > 0)[None, :]
             for i, homes in enumerate(table["homes"].to_pylist()):
                 wanted[i, homes] = False
             at, cell = np.nonzero(wanted)

@@ -11,32 +11,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from deskmeter.session import reliable_checkpoint
+
 BUCKETS = 64
-_PREFIX = 2
 
 
 def surrogate_key(df: DataFrame, column: str, key: str) -> DataFrame:
-    """Distinct values of ``column`` numbered 1..n in binary string order, NULL last."""
-    values = df.select(column).distinct()
-    bucket = F.substring(F.col(column), 1, _PREFIX)
-    values = values.withColumn("_bucket", bucket)
+    """Distinct values of ``column`` numbered 1..n in binary string order, NULL last.
+
+    The distinct values are dealt out by ranges, sorted and stored with their range and place, so
+    nothing but the number of values per range meets in one task, whatever prefixes they share.
+    """
     order = F.col(column).asc_nulls_last()
-    local = values.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(order))
-    )
-    before = Window.orderBy(F.col("_bucket").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        values.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            F.col("_bucket").alias("_offset_bucket"),
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        )
-    )
-    joined = local.join(offsets, F.col("_bucket").eqNullSafe(F.col("_offset_bucket")))
-    return joined.select((F.col("_offset") + F.col("_local")).cast("bigint").alias(key), column)
+    values = df.select(column).distinct().repartitionByRange(order).sortWithinPartitions(order)
+    placed = reliable_checkpoint(values.withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.select(
+        column, F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_range").count().select(
+        "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
+    joined = placed.join(offsets, "_range")
+    return joined.select((F.col("_offset") + F.col("_place") + 1).cast("bigint").alias(key), column)
 
 
 def cumulative_desc(

@@ -391,10 +391,8 @@ ORACLE: dict[str, str] = {
     "model_agreement": _W_KNN + ", scores as (select 'knn' as model, * from votes)" + _METRICS + _AUC + _agreement(
         "knn", "knn", "votes a join votes b on a.id = b.id"),
     "stream_log_features": f"with {LOGS} select * from logf",
-    "stream_daily_breach": """with closed as (select max(ts) - interval 1 day as mark from events)
-        select strftime(ts, '%Y-%m-%d') as day, event_type, count(*)::bigint as n_rows,
-        sum((value > 10)::int)::bigint as n_flagged from events, closed
-        where date_trunc('day', ts) + interval 1 day <= mark group by 1, 2""",
+    "stream_daily_breach": """select strftime(ts, '%Y-%m-%d') as day, event_type, count(*)::bigint as n_rows,
+        sum((value > 10)::int)::bigint as n_flagged from events group by 1, 2""",
 }
 
 # -- statements assembled from lists

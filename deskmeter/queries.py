@@ -23,7 +23,6 @@ from deskmeter.plans.dashboard import dashboard_document
 from deskmeter.session import reliable_checkpoint, shared_dir
 from deskmeter.sources import derived as src
 from deskmeter.sources.inventory import row_counts
-from deskmeter.sources.raw import spread_small
 from deskmeter.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,7 +177,7 @@ register("text_features", src.text)
 def text_custom_terms(spark, folder):
     """The same features with other word lists, here words that do occur in the texts."""
     return text_features(
-        spread_small(src.messages(spark, folder)),
+        src.messages(spark, folder),
         urgency=ENGLISH_TERMS, refund=["pay"], cancel=["stop"], error=["fail", "miss"],
     ).select("ticket_id", "urgency_hits", "kw_refund", "kw_cancel", "kw_error")
 
@@ -495,8 +494,7 @@ def stream_daily_breach(spark, folder):
     events = incremental.stream_files(spark, f"{folder}/events.parquet").withColumn(
         "flagged", F.col("value") > 10
     )
-    counts = incremental.daily_counts(events, "ts", "flagged", by="event_type")
-    incremental.start_daily_counts(counts, state).awaitTermination()
-    return spark.read.parquet(f"{state}/days")
+    incremental.start_daily_counts(events, state, "ts", "flagged", by="event_type").awaitTermination()
+    return incremental.read_daily_counts(spark, state, by="event_type")
 
 

@@ -14,7 +14,6 @@ from deskmeter.ml.split import is_test
 from deskmeter.operators.clean import clean_tickets
 from deskmeter.operators.log_features import log_features_flat
 from deskmeter.operators.text_features import text_features
-from deskmeter.sources.raw import spread_small
 
 # --- fixed values ------------------------------------------------------------
 CHANNELS = ["Email", "Chat", "Telefone", "Formulário Web", "Redes Sociais"]
@@ -119,7 +118,7 @@ def events_flat(spark: SparkSession, folder: str) -> DataFrame:
 def events_nested(spark: SparkSession, folder: str) -> DataFrame:
     """A list per record without grouping: every word of a document is one event."""
     words = F.split(F.col("text"), " ")
-    return spread_small(table(spark, folder, "documents").select("doc_id", "text")).select(
+    return table(spark, folder, "documents").select("doc_id", "text").select(
         F.col("doc_id").alias("ticket_id"),
         F.transform(
             words,
@@ -139,7 +138,7 @@ def tickets_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text(spark: SparkSession, folder: str) -> DataFrame:
-    return text_features(spread_small(messages(spark, folder)))
+    return text_features(messages(spark, folder))
 
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:

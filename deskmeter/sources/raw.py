@@ -10,12 +10,18 @@ from deskmeter import schemas
 
 
 def read_tickets(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header. A value that does not fit its type fails the job."""
-    return (
-        spark.read.schema(schemas.TICKETS)
-        .options(header=True, mode="FAILFAST", quote='"', escape='"', encoding="UTF-8")
-        .csv(path)
-    )
+    """CSV with header, read by column name in whatever order the file has them.
+
+    An absent column or a value that does not fit its type fails the job; further columns are left out.
+    """
+    options = dict(header=True, quote='"', escape='"', encoding="UTF-8")
+    found = spark.read.options(**options).csv(path).columns
+    known = {f.name: f for f in schemas.TICKETS}
+    if absent := [name for name in known if name not in found]:
+        raise ValueError(f"columns missing in {path}: {', '.join(absent)}")
+    layout = T.StructType([known.get(name, T.StructField(name, T.StringType())) for name in found])
+    rows = spark.read.schema(layout).options(mode="FAILFAST", enforceSchema=False, **options).csv(path)
+    return rows.select(*known)
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -66,23 +72,3 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     if fmt == "csv":
         reader = reader.option("header", True)
     return reader.load(path)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; for a plain scan that is the size of the files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-SMALL_BYTES = 256 * 1024 * 1024
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores before expensive row-wise work.
-
-    A few megabytes of text usually sit in one file with one row group, which is one task.
-    Only inputs whose estimated size is under ``SMALL_BYTES`` are moved; anything larger
-    already comes in enough pieces and is left alone.
-    """
-    if estimated_bytes(df) > SMALL_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -77,32 +77,32 @@ def read_log_features(spark: SparkSession, state: str, key: str = "ticket_id") -
     return finish_partials(_stored_partials(spark, state)[0], key)
 
 
-def daily_counts(
-    events: DataFrame, ts: str, flag: str, by: str | None = None, late: str = "1 day"
-) -> DataFrame:
-    """Rows and flagged rows per day (and group), for closed days only.
+def _by_day(rows: DataFrame, by: str | None, **sums) -> DataFrame:
+    return rows.groupBy("day", *([by] if by else [])).agg(*[e.alias(n) for n, e in sums.items()])
 
-    A day is final once the watermark has passed its end; rows later than ``late`` behind
-    the newest one are not counted any more.
+
+def start_daily_counts(events: DataFrame, state: str, ts: str, flag: str, by: str | None = None) -> StreamingQuery:
+    """Rows and flagged rows per day (and group) of each micro-batch, kept as partial counts.
+
+    Counts add up whatever the order in which days arrive, so no watermark is needed and no row is
+    ever late. A replayed batch overwrites its own folder.
     """
-    keys = [F.window(ts, "1 day").alias("day")] + ([F.col(by)] if by else [])
-    return (
-        events.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, late)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(flag).cast("bigint")).alias("n_flagged"))
-        .select(
-            F.to_date("day.start").alias("day"), *([by] if by else []), "n_rows", "n_flagged"
-        )
-    )
 
+    def store(batch: DataFrame, batch_id: int) -> None:
+        flagged = F.sum(F.col(flag).cast("bigint"))
+        rows = batch.withColumn("day", F.to_date(F.col(ts).cast("timestamp")))
+        counts = _by_day(rows, by, n_rows=F.count(F.lit(1)), n_flagged=flagged)
+        counts.write.mode("overwrite").parquet(f"{state}/partials/batch={batch_id}")
 
-def start_daily_counts(counts: DataFrame, state: str) -> StreamingQuery:
-    """Append closed days to Parquet; the file sink commits each batch exactly once."""
     return (
-        counts.writeStream.outputMode("append")
-        .format("parquet")
+        events.writeStream.foreachBatch(store)
         .option("checkpointLocation", f"{state}/checkpoint")
         .trigger(availableNow=True)
-        .start(f"{state}/days")
+        .start()
     )
+
+
+def read_daily_counts(spark: SparkSession, state: str, by: str | None = None) -> DataFrame:
+    """The counts of everything streamed so far, the open days included."""
+    stored = _stored_partials(spark, state)[0]
+    return _by_day(stored, by, n_rows=F.sum("n_rows"), n_flagged=F.sum("n_flagged"))

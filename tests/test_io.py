@@ -13,7 +13,6 @@ from deskmeter.session import shared_dir
 from deskmeter.sinks import publish as sink
 from deskmeter.sinks.publish import Target
 from deskmeter.sources import inventory
-from deskmeter.sources.raw import spread_small
 from deskmeter.streaming import incremental
 
 
@@ -89,12 +88,6 @@ def test_inventory(spark, raw_dir):
         inventory.check_schema("t", df.drop("csat_score"), schemas.TICKETS)
 
 
-def test_spread_only_moves_small_inputs(spark, small, monkeypatch):
-    df = spark.read.parquet(f"{small}/documents.parquet")
-    assert spread_small(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr("deskmeter.sources.raw.SMALL_BYTES", 10)
-    assert spread_small(df) is df
-
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "csv", "json"])
 def test_file_formats_round_trip_and_overwrite(spark, tmp_path, fmt):
