@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from deskmeter.llm.common import lengths, slices, texts
 
-BATCH_BYTES, STRETCH, REMEMBERED, LONG, QUERY_WORDS = 4 << 20, 400_000, 300_000, 256, 20_000
+BATCH_BYTES, STRETCH, REMEMBERED, LONG, QUERY_WORDS = 4 << 20, 400_000, 800_000, 256, 20_000
 
 # fixed values: code points that the pattern engine here counts as letters or numbers and the tokenizer's
 # library, with an older Unicode version, does not
@@ -54,18 +54,19 @@ WITH RECURSIVE step(round, word, pos, id) AS (
   SELECT 0, word, pos, id FROM bytes_of_words
   UNION ALL (
     WITH neighbours AS (
-      SELECT *, lead(id) OVER (PARTITION BY word ORDER BY pos) AS next_id FROM step),
+      SELECT *, lead(id) OVER w AS next_id, lag(pos) OVER w AS before
+      FROM step WINDOW w AS (PARTITION BY word ORDER BY pos)),
     ranked AS (
       SELECT n.*, m.id AS merged FROM neighbours n LEFT JOIN merges m ON m.l = n.id AND m.r = n.next_id),
     best AS (  -- smallest rank first, then leftmost
       SELECT word, min(merged::BIGINT * 65536 + pos) % 65536 AS spot
       FROM ranked WHERE merged IS NOT NULL GROUP BY word),
-    marked AS (
-      SELECT r.*, b.spot, lag(pos) OVER (PARTITION BY r.word ORDER BY pos) AS before
-      FROM ranked r JOIN best b USING (word))
+    marked AS (SELECT r.*, b.spot FROM ranked r JOIN best b USING (word))
     SELECT round + 1, word, pos, CASE WHEN pos = spot THEN merged ELSE id END
     FROM marked WHERE before IS DISTINCT FROM spot))
-SELECT word, pos, id FROM step QUALIFY round = max(round) OVER (PARTITION BY word) ORDER BY word, pos
+SELECT s.word, s.pos, s.id
+FROM step s JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) l USING (word, round)
+ORDER BY s.word, s.pos
 """
 _DECODE = """
 SELECT row, string_agg(hex(token), '' ORDER BY pos) AS bytes
