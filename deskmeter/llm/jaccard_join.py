@@ -8,14 +8,15 @@ sizes allows, so similar sets agree in a part (pigeonhole): band, part and XOR a
 set is keyed for its own band and, where it can have partners there, for the band below. Parts without shingles
 say nothing; they are keyed only for sets with too few others for the pigeonhole.
 
-Verification without all pairs. In every bucket of sets with the same key all are compared with
-one of them, the hub h. For two members x, y that are similar, with differences X and Y from h:
-if X and Y are disjoint then d(x, y) = |X| + |Y|, from which both are similar to h. So pairs
-that the hub has not settled share an element of their differences: members go on to buckets by (h,
-element) for the first D + 1 elements (in hash order) of x - h, and of h - x if |x - h| <= D, D being the
-largest difference allowed to x. Those buckets get their hubs in turn, until no bucket holds two
-components. Each round costs rows in proportion to the members, however large a group of copies is; no cap, no lost
-link.
+Verification. The sets that share keys with one set, the hub, are a cluster. One that fits a task is searched
+there: breadth first, so that a set once reached is never compared again. A larger one is settled
+from a centre z, sets x having the differences X from it: if X and Y are disjoint, x and y are similar just if
+f(x) + f(y) <= 0 where f(x) = (q + p)|X| - (q - p)|x|, and then both are similar to the set with the
+smallest f. So one star per cluster links these, and any other similar pair shares an element of
+its differences: sets go on to buckets by (cluster, element) for the first D + 1 elements in hash order,
+D being the largest difference from x that is allowed. As the centre is what most have in common, such
+a bucket has at most half of the cluster. Sets far from the hub go on by the elements they have beyond it
+(or, having few, by those they lack). It ends when no bucket holds two components. No group is ever paired out, no cap is set, no link is lost.
 
 Scale: equal sets are one class first (by count and two 64-bit sums of mixed hashes). Keys are counted in one
 aggregate; a bit filter of the repeated ones (``filter_bits``, a fixed bound for what is
@@ -39,11 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deskmeter.llm.bitfilter import BITS, build, passes
 from deskmeter.llm.common import slices, store, texts, utf8
 from deskmeter.llm.components import contract, relabel
 from deskmeter.llm.words import grams, hashes, mix, spans
 
-FILTER_BITS = 26
+TASK_MEMBERS, TASK_ELEMENTS = 4096, 2_000_000
+_SKETCH_BITS = 4096
 BATCH_BYTES = 2 << 20
 
 
@@ -134,7 +137,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
 
 
-def _profiles(rule: Rule, passing, bits: int):
+def _profiles(rule: Rule, passing):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = passing.value
         for batch in slices(batches, BATCH_BYTES):
@@ -142,8 +145,7 @@ def _profiles(rule: Rule, passing, bits: int):
             keys, kept = [], []
             for s in sets:
                 k = sketch_keys(s, rule)
-                at = k & np.uint64((1 << bits) - 1)
-                k = k[(table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+                k = k[passes(table, k)]
                 keys.append(k)
                 kept.append(s if len(k) else s[:0])
             with np.errstate(over="ignore"):
@@ -157,73 +159,139 @@ def _profiles(rule: Rule, passing, bits: int):
     return run
 
 
-def _bit_filter(keys: DataFrame, bits: int) -> np.ndarray:
-    """A table of 2**bits bits in which those of all ``keys`` are set; its size is its bound."""
-    at = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
-    rows = keys.select(F.shiftright(at, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int")).alias("b"))
-    words = rows.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    table = np.zeros(1 << (bits - 6), np.uint64)
-    table[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
-    return table
+def _inside(rule: Rule):
+    """The links of one cluster that fits a task: a breadth-first search over its members.
 
+    Each member is compared with those not reached yet, by the Hamming distance of bit sketches first (a lower
+    bound of the difference) and by the sets where it does not rule them out.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        rid = rows.column("rid").to_numpy()
+        lists = rows.column("shingles").combine_chunks()
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        sets = [flat[ends[i] : ends[i + 1]] for i in range(len(rid))]
+        size = np.diff(ends).astype(np.int64)
+        sketch = np.zeros((len(rid), _SKETCH_BITS), np.uint8)
+        for i, s in enumerate(sets):
+            sketch[i] = np.bincount(s & (_SKETCH_BITS - 1), minlength=_SKETCH_BITS) & 1
+        sketch = np.packbits(sketch, axis=1).view(np.uint64)
+        waiting, u, v = np.arange(len(rid)), [], []
+        while len(waiting):
+            queue, waiting = [waiting[0]], waiting[1:]
+            root = queue[0]
+            while queue and len(waiting):
+                x = queue.pop()
+                most = rule.allowed(size[x] + size[waiting])
+                maybe = np.abs(size[x] - size[waiting]) <= most
+                maybe[maybe] = np.bitwise_count(sketch[waiting[maybe]] ^ sketch[x]).sum(axis=1, dtype=np.int64) <= most[maybe]
+                linked = np.zeros(len(waiting), bool)
+                for i in np.flatnonzero(maybe):
+                    common = np.intersect1d(sets[x], sets[waiting[i]], assume_unique=True).size
+                    linked[i] = size[x] + size[waiting[i]] - 2 * common <= most[i]
+                found = waiting[linked]
+                u += [rid[root]] * len(found)
+                v += rid[found].tolist()
+                queue += found.tolist()
+                waiting = waiting[~linked]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return run
 
-def _compare(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Each (hub, rid) with ``linked`` and the elements that lead on to further buckets."""
-    a = sets.select(F.col("rid"), F.col("shingles").alias("a"))
+
+def _large(members: DataFrame, sets: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Links (u, v) and further buckets (key, rid) of clusters that don't fit a task, from a centre.
+
+    The centre of a cluster is made of the shingles that most of its members near the hub have: the hub with the
+    elements changed that are in the differences of more than half of them.
+    """
+    plus, minus = rule.q + rule.p, rule.q - rule.p
+    a = sets.select("rid", F.col("shingles").alias("a"))
     h = sets.select(F.col("rid").alias("hub"), F.col("shingles").alias("h"))
-    both = pairs.join(a, "rid").join(h, "hub")
-    own, lack = F.array_except("a", "h"), F.array_except("h", "a")
-    size, reach = F.size("a").cast("bigint"), F.lit(rule.q - rule.p)
-    most = F.floor(reach * (size + F.floor(size * rule.q / rule.p)) / (rule.q + rule.p)).cast("int")
-    rows = both.select("hub", "rid", (F.size("a") + F.size("h")).alias("sizes"), most.alias("most"),
-                       own.alias("own"), lack.alias("lack"))
-    differ = F.size("own") + F.size("lack")
-    first = F.slice(F.array_sort("own"), F.lit(1), F.col("most") + 1)
-    other = F.when(F.size("own") <= F.col("most"), F.slice(F.array_sort("lack"), F.lit(1), F.col("most") + 1))
-    return rows.select(
-        "hub", "rid", ((rule.q + rule.p) * differ <= reach * F.col("sizes")).alias("linked"),
-        F.concat(first, F.coalesce(other, F.array().cast("array<bigint>"))).alias("leads"),
+    size = F.size("a").cast("bigint")
+    most = F.floor(minus * (size + F.floor(size * rule.q / rule.p)) / plus).cast("int")
+    rows = members.join(a, "rid").join(h, "hub").select(
+        "cluster", "hub", "rid", size.alias("size"), F.size("h").cast("bigint").alias("hub_size"), most.alias("most"),
+        F.array_except("a", "h").alias("own"), F.array_except("h", "a").alias("lack"))
+    rows = store(rows.withColumn("d", F.size("own") + F.size("lack")))
+    # what is similar to a member that differs by at most D from the hub differs by at most D + D' from it
+    near = rows.where(F.col("d") <= F.col("most") + F.ceil(F.col("most") * rule.q / rule.p) + 1)
+    far = rows.where(F.col("d") > F.col("most"))
+    near = near.withColumn("x", F.concat("own", "lack"))
+    half = near.groupBy("cluster").agg((F.count(F.lit(1)) / 2).alias("half"))
+    common = (
+        near.select("cluster", F.explode("x").alias("e")).groupBy("cluster", "e").count().join(half, "cluster")
+        .where(F.col("count") > F.col("half")).groupBy("cluster").agg(F.collect_list("e").alias("centre"))
     )
+    none = F.array().cast("array<bigint>")
+    near = near.join(store(common), "cluster", "left").withColumn("centre", F.coalesce("centre", none))
+    near = store(near.select(
+        "cluster", "hub", "rid", "size", "hub_size", "most", "d",
+        F.concat(F.array_except("x", "centre"), F.array_except("centre", "x")).alias("x"),
+    ).withColumn("f", plus * F.size("x") - minus * F.col("size")))
+    first = store(near.groupBy("cluster").agg(F.min(F.struct("f", "rid")).alias("m")))
+    links = near.join(first, "cluster").where(F.col("f") + F.col("m.f") <= 0).select(
+        F.col("m.rid").alias("u"), F.col("rid").alias("v"))
+    links = links.unionByName(near.where(plus * F.col("d") <= minus * (F.col("size") + F.col("hub_size"))).select(
+        F.col("hub").alias("u"), F.col("rid").alias("v")))
+
+    def led(rows, name, kind):
+        e = F.explode(F.slice(F.array_sort(name), F.lit(1), F.col("most") + 1)).alias("e")
+        # the hub has been compared with all of them and is done with
+        return rows.where("rid <> hub").select("rid", "cluster", e).select(
+            F.xxhash64("cluster", F.lit(kind), "e").alias("key"), "rid")
+
+    # far sets with little of their own are parts of the hub, and lack the same elements if they are similar
+    further = led(near, "x", "near").unionByName(led(far, "own", "far")).unionByName(
+        led(far.where(F.size("own") <= F.col("most")), "lack", "part"))
+    return links.where("u <> v"), further.distinct()
 
 
 def _mixed(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The rows of those buckets (key, rid) that hold more than one component."""
-    rows = relabel(labels, buckets.withColumn("label", F.col("rid")), "label")
-    rows = store(rows)
+    """(key, hub, rid): members of the buckets that hold more than one component; hubs are their smallest members."""
+    rows = store(relabel(labels, buckets.withColumn("label", F.col("rid")), "label"))
     several = store(rows.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.min("rid").alias("hub"))
                     .where("l < m").select("key", "hub"))
-    return rows.join(several, "key").select("key", "rid", "hub")
+    return rows.join(several, "key").select("key", "hub", "rid")
 
 
-def connect(sets: DataFrame, buckets: DataFrame, rule: Rule) -> DataFrame | None:
+def connect(sets: DataFrame, buckets: DataFrame, rule: Rule, task_members: int, task_elements: int) -> DataFrame | None:
     """Labels of the linked sets; ``sets`` (rid, shingles), ``buckets`` (key, rid)."""
-    labels = None
+    labels, sizes = None, sets.select("rid", F.size("shingles").alias("size"))
+    # at first, the buckets of one hub are one cluster; later they must stay apart to get smaller
+    cluster = F.col("hub")
     while True:
-        placed = _mixed(buckets, labels)
-        pairs = store(placed.where("rid <> hub").select("hub", "rid").distinct())
-        if pairs.isEmpty():
+        members = store(_mixed(buckets, labels).select(cluster.alias("cluster"), "hub", "rid").distinct())
+        if members.isEmpty():
             return labels
-        compared = store(_compare(pairs, sets, rule))
-        labels = contract(compared.where("linked").select(F.col("hub").alias("u"), F.col("rid").alias("v")), labels)
-        buckets = compared.select(F.col("rid"), F.col("hub"), F.explode("leads").alias("e")).select(
-            F.xxhash64("hub", "e").alias("key"), "rid").distinct()
+        fits = (F.count(F.lit(1)) <= task_members) & (F.sum("size") <= task_elements)
+        clusters = store(members.join(sizes, "rid").groupBy("cluster").agg(fits.alias("fits")))
+        small = members.join(clusters.where("fits").select("cluster"), "cluster").join(sets, "rid")
+        links = store(small.select("cluster", "rid", "shingles").groupBy("cluster").applyInArrow(_inside(rule), "u bigint, v bigint"))
+        large = clusters.where(~F.col("fits")).select("cluster")
+        if large.isEmpty():
+            return contract(links, labels)
+        more, buckets = _large(store(members.join(large, "cluster")), sets, rule)
+        buckets, cluster = store(buckets), F.col("key")
+        labels = contract(links.unionByName(more), labels)
 
 
 def near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text",
-                filter_bits: int = FILTER_BITS) -> DataFrame:
+                filter_bits: int = BITS, task_members: int = TASK_MEMBERS,
+                task_elements: int = TASK_ELEMENTS) -> DataFrame:
     """One row per row of ``docs``: rid, id, n_shingles, component_id (smallest id reachable), class_id."""
     rows = texts(docs, F.col(id_col).alias("id"), text=text_col)
     kind = rows.schema["id"].dataType.simpleString()
     repeated = store(rows.select("text").mapInArrow(_keys_only(rule), "key bigint").groupBy("key").count().where("count > 1").select("key"))
-    passing = docs.sparkSession.sparkContext.broadcast(_bit_filter(repeated, filter_bits))
+    passing = docs.sparkSession.sparkContext.broadcast(build(repeated, filter_bits))
     schema = f"id {kind}, n bigint, s1 bigint, s2 bigint, keys array<bigint>, shingles array<bigint>"
-    profiles = store(rows.mapInArrow(_profiles(rule, passing, filter_bits), schema)
+    profiles = store(rows.mapInArrow(_profiles(rule, passing), schema)
                      .withColumn("rid", F.monotonically_increasing_id()))
     plain = profiles.select("rid", "id", "n", "s1", "s2")
     classes = store(plain.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("rid").alias("class"), F.min("id").alias("least")))
-    chosen = profiles.join(classes.select(F.col("class").alias("rid")), "rid", "left_semi")
-    sets = store(chosen.where(F.size("keys") > 0).select("rid", "keys", "shingles"))
-    labels = connect(sets.select("rid", "shingles"), sets.select(F.explode("keys").alias("key"), "rid"), rule)
+    keys = profiles.select("rid", "keys").join(classes.select(F.col("class").alias("rid")), "rid", "left_semi")
+    sets = profiles.where(F.size("keys") > 0).select("rid", "shingles")
+    labels = connect(sets, keys.select(F.explode("keys").alias("key"), "rid"), rule, task_members, task_elements)
     labelled = store(relabel(labels, classes.withColumn("label", F.col("class")), "label"))
     least = store(labelled.groupBy("label").agg(F.min("least").alias("component_id")))
     named = store(labelled.join(least, "label").select("n", "s1", "s2", "class", "component_id"))
@@ -236,7 +304,8 @@ def near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", te
 def drop_near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id; all columns kept.
 
-    Documents with empty sets are linked with nothing and stay. Rows that repeat one another become one.
+    Documents with empty sets are linked with nothing and stay. Rows that repeat one another become one. Rows
+    without an id can't be told apart: they stay if one of them does.
     """
     found = near_copies(docs, rule, id_col, text_col)
     kept = store(found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept_id")))
