@@ -115,6 +115,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without exact copies, all columns kept; rows that repeat one another become one."""
-    kept = store(exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id")))
-    rows = docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = store(exact_groups(docs, id_col, text_col).where("kept").select(
+        F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_text")))
+    own = F.sha2(F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary"), 256)
+    rows = docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")) & (own == F.col("_kept_text")), "left_semi")
     return rows.dropDuplicates()
