@@ -38,6 +38,7 @@ RAW_FILES = {
 }
 RAW_TABLES = ("tickets_clean", "text_features", "log_features", "predictions")
 BUCKET_BYTES = 512 * 1024 * 1024
+OWNER = "deskmeter.out"
 
 
 @dataclass
@@ -111,6 +112,8 @@ class Job:
         for name, df in tables.items():
             started = time.monotonic()
             loaded[name] = publish(df, name, target, bucket=bucket)
+            if target == Target("table", "raw"):
+                self.spark.sql(f"ALTER TABLE raw.`{name}` SET TBLPROPERTIES ('{OWNER}' = '{self._owner()}')")
             self.report.append(("load", name, loaded[name], time.monotonic() - started))
         return loaded
 
@@ -122,12 +125,20 @@ class Job:
         floor = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return max(floor, math.ceil(largest / BUCKET_BYTES))
 
+    def _owner(self) -> str:
+        return self.out.rstrip("/").replace("\\", "\\\\").replace("'", "\\'")
+
+    def _is_own(self, name: str) -> bool:
+        """Whether the catalogue's table was loaded from this job's output and not from another run's."""
+        if not self.spark.catalog.tableExists(f"raw.{name}"):
+            return False
+        found = self.spark.sql(f"SHOW TBLPROPERTIES raw.`{name}`").collect()
+        return (OWNER, self.out.rstrip("/")) in [(r["key"], r["value"]) for r in found]
+
     def _raw_tables(self) -> dict[str, DataFrame]:
-        """Catalogue tables when this session knows them, else the stored files."""
+        """Catalogue tables that this job has loaded, else its stored files."""
         return {
-            name: self.spark.table(f"raw.{name}")
-            if self.spark.catalog.tableExists(f"raw.{name}")
-            else self._stored("processed", name)
+            name: self.spark.table(f"raw.{name}") if self._is_own(name) else self._stored("processed", name)
             for name in RAW_TABLES
         }
 
