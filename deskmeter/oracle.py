@@ -440,7 +440,8 @@ ORACLE["split_exact"] = _SPLIT + "select * from split"
 ORACLE["split_counts"] = _SPLIT + "select sla_breach, is_test, count(*)::bigint as n_rows from split group by 1, 2"
 ORACLE["run_summary"] = _SPLIT + f""", s as (select count(*) filter (is_test = 0)::bigint as n_train,
     count(*) filter (is_test = 1)::bigint as n_test, avg(sla_breach) filter (is_test = 1) as p from split)
-    select n_train, n_test, {_binary('p', 4)} as test_prevalence, {len(domain.NUMERIC)}::bigint as n_features from s"""
+    select n_train, n_test, {_binary('p', 4)} as test_prevalence, ({len(domain.NUMERIC)} + (select {" + ".join(f"count(distinct {c})" for c in domain.CATEGORICAL)} from clean))::bigint
+    as n_features from s"""
 
 _CHECKS = [
     ("not_null", "stg_tickets", "ticket_id", "select 1 from clean where ticket_id is null"),

@@ -339,7 +339,10 @@ def split_counts(spark, folder):
 
 @query
 def run_summary(spark, folder):
-    return metrics.run_summary(split_exact(spark, folder), domain.TARGET, len(domain.NUMERIC))
+    clean = reliable_checkpoint(src.tickets_clean(spark, folder).select("ticket_id", domain.TARGET, *domain.CATEGORICAL))
+    encoded = clean.agg(*[F.count_distinct(c) for c in domain.CATEGORICAL]).first()
+    split = stratified_split(clean.select("ticket_id", domain.TARGET), domain.TARGET)
+    return metrics.run_summary(split, domain.TARGET, len(domain.NUMERIC) + sum(encoded))
 
 
 @query
