@@ -18,7 +18,7 @@ with a smaller id, or earlier in the same one. Every word that such a window cov
 
 Documents with equal words are one class first: all but the earliest consist of repeats if they
 have a window at all. The tables of counts and of the anchors' bits have a fixed size
-(``slots``, ``filter_bits``) and are the only things broadcast; where they fill up they let more
+(``slot_bits``, ``filter_bits``) and are the only things broadcast; where they fill up they let more
 rows pass and lengthen prefixes, with the same result. Words are compared by 128 bits of hashes.
 
 Null texts have no words; texts shorter than a window are kept. Ids are integers; null ids come
@@ -36,11 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deskmeter.llm.bitfilter import BITS, build, passes
 from deskmeter.llm.common import slices, store, texts, utf8
 from deskmeter.llm.words import grams, hashes, mix, spans
 
 WINDOW, ANCHOR, STEP = 20, 6, 5
-FILTER_BITS, SLOT_BITS = 26, 20
+SLOT_BITS = 18
 GROUP_ROWS, TASK_ROWS = 20_000, 200_000
 BATCH_BYTES = 2 << 20
 _DEPTHS = (1, 2, 3)  # prefixes in steps of five words
@@ -93,12 +94,7 @@ def _count_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(key[part].view(np.int64)), pa.array(n[part], pa.int64())], ["key", "n"])
 
 
-def _bit(table: np.ndarray, key: np.ndarray, bits: int) -> np.ndarray:
-    at = key & np.uint64((1 << bits) - 1)
-    return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-
-
-def _scan(anchors, bits: int):
+def _scan(anchors):
     """Each document with its counts and digest, and its text where it has a candidate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +104,7 @@ def _scan(anchors, bits: int):
             words = _Words(column)
             found, _ = words.anchors()
             hit = np.zeros(len(column), bool)
-            hit[words.owner[_bit(table, found, bits)]] = True
+            hit[words.owner[passes(table, found)]] = True
             digest = [hashlib.sha256(words.joined(i)).hexdigest() for i in range(len(column))]
             kept = [t if h else None for t, h in zip(column.to_pylist(), hit.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -132,58 +128,69 @@ def _chain(parts: list[np.ndarray], seed: int) -> np.ndarray:
     return out
 
 
-def _count_prefixes(anchors, bits: int, slot_bits: int):
+def _count_prefixes(anchors, slot_bits: int, least: int):
+    """Candidates by depth and slot of their prefix, those of a task together; depth 0 has their number.
+
+    Counts below ``least`` are left out: with as many tasks as ``least`` allows for, that adds up to a quarter of a group.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {d: np.zeros(1 << slot_bits, np.int64) for d in _DEPTHS}
+        total = 0
         for batch in slices(batches, BATCH_BYTES):
             words = _Words(batch.column("text"))
-            chosen = np.flatnonzero(_bit(anchors.value, words.anchors()[0], bits))
+            chosen = np.flatnonzero(passes(anchors.value, words.anchors()[0]))
+            total += len(chosen)
             parts = _prefixes(words, chosen)
             for depth in _DEPTHS:
-                slot, n = np.unique(_chain(parts[:depth], depth) & np.uint64((1 << slot_bits) - 1), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(slot), depth), pa.int32()), pa.array(slot.astype(np.int64)), pa.array(n, pa.int64())],
-                    ["depth", "slot", "n"])
+                slot = (_chain(parts[:depth], depth) & np.uint64((1 << slot_bits) - 1)).astype(np.int64)
+                counts[depth] += np.bincount(slot, minlength=1 << slot_bits)
+        for depth, n in [(0, np.array([total])), *counts.items()]:
+            slot = np.flatnonzero(n >= (least if depth else 0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(slot), depth), pa.int32()), pa.array(slot, pa.int64()), pa.array(n[slot], pa.int64())],
+                ["depth", "slot", "n"])
 
     return run
 
 
-def _suffixes(anchors, bits: int, frequent, slot_bits: int):
-    """Candidate starts below the shortest prefix that is rare enough; ``whole`` where none is."""
+def _suffixes(anchors, frequent, slot_bits: int, wanted: bool):
+    """Candidate starts below the shortest prefix that is rare enough; or, ``wanted``, those for which none is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BATCH_BYTES):
             words = _Words(batch.column("text"))
-            chosen = np.flatnonzero(_bit(anchors.value, words.anchors()[0], bits))
+            chosen = np.flatnonzero(passes(anchors.value, words.anchors()[0]))
             parts = _prefixes(words, chosen)
             key, tail = _chain(parts, 7), _chain(parts[::-1], 8)
             whole = np.ones(len(chosen), bool)
             for depth in reversed(_DEPTHS):
                 prefix = _chain(parts[:depth], depth)
-                rare = ~_bit(frequent.value[depth], prefix, slot_bits)
+                rare = ~frequent.value[depth][(prefix & np.uint64((1 << slot_bits) - 1)).astype(np.int64)]
                 key = np.where(rare, prefix, key)
                 tail = np.where(rare, _chain(parts[depth:], 9), tail)
                 whole &= ~rare
-            owner, start = words.owner[chosen], words.start[chosen]
-            ids, rids = batch.column("id").to_numpy(zero_copy_only=False), batch.column("rid").to_numpy(zero_copy_only=False)
-            for at in range(0, len(chosen), 1 << 16):
+            out = whole if wanted else ~whole
+            key, tail, owner, start = key[out], tail[out], words.owner[chosen][out], words.start[chosen][out]
+            number = batch.column("no").to_numpy(zero_copy_only=False)
+            for at in range(0, len(key), 1 << 16):
                 p = slice(at, at + (1 << 16))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[p].view(np.int64)), pa.array(tail[p].view(np.int64)), pa.array(ids[owner[p]], pa.int64()),
-                     pa.array(rids[owner[p]], pa.int64()), pa.array(start[p], pa.int32()), pa.array(whole[p])],
-                    ["key", "tail", "id", "rid", "start", "whole"])
+                    [pa.array(key[p].view(np.int64)), pa.array(tail[p].view(np.int64)), pa.array(number[owner[p]], pa.int64()),
+                     pa.array(start[p], pa.int32())], ["key", "tail", "no", "start"])
 
     return run
 
 
 def _subtrees(rows: pd.DataFrame) -> pd.DataFrame:
     """The suffixes of some groups in tree order; leaves below a node of window depth, but the earliest."""
-    columns = [rows[c].to_numpy() for c in ("start", "rid", "id", "tail", "key")]
+    columns = [rows[c].to_numpy() for c in ("start", "no", "tail", "key")]
     order = np.lexsort(columns)
-    key, tail = columns[4][order], columns[3][order]
+    key, tail = columns[3][order], columns[2][order]
     repeat = np.zeros(len(order), bool)
     repeat[1:] = (key[1:] == key[:-1]) & (tail[1:] == tail[:-1])
     at = order[repeat]
-    return pd.DataFrame({"rid": columns[1][at], "start": columns[0][at]})
+    return pd.DataFrame({"no": columns[1][at], "start": columns[0][at]})
 
 
 def _clean(with_text: bool):
@@ -205,64 +212,60 @@ def _clean(with_text: bool):
                 texts_left.append(left.decode() if with_text else None)
             spans_type = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), pa.array(removed, pa.int64()), pa.array(digest), pa.array(found, spans_type),
-                 pa.array(texts_left, pa.string())], ["rid", "n_removed", "kept_sha256", "spans", "kept"])
+                [batch.column("no"), pa.array(removed, pa.int64()), pa.array(digest), pa.array(found, spans_type),
+                 pa.array(texts_left, pa.string())], ["no", "n_removed", "kept_sha256", "spans", "kept"])
 
     return run
 
 
-def _table(rows: DataFrame, bits: int) -> np.ndarray:
-    """A table of 2**bits bits with those of column ``at`` set; fixed in size."""
-    words = rows.groupBy(F.shiftright("at", 6).alias("w")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))).alias("b")).toArrow()
-    table = np.zeros(1 << (bits - 6), np.uint64)
-    table[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
-    return table
-
-
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False,
-            group_rows: int = GROUP_ROWS, task_rows: int = TASK_ROWS, filter_bits: int = FILTER_BITS,
+            group_rows: int = GROUP_ROWS, task_rows: int = TASK_ROWS, filter_bits: int = BITS,
             slot_bits: int = SLOT_BITS) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, kept_sha256, spans of removed words (all of a copy
     is one span) and, if asked for, the kept words of the documents that lost some but not all."""
     context = docs.sparkSession.sparkContext
     rows = texts(docs, F.col(id_col).cast("bigint").alias("id"), text=text_col)
     counts = rows.select("text").mapInArrow(_count_anchors, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    at = F.col("key").bitwiseAND(F.lit((1 << filter_bits) - 1)).alias("at")
-    anchors = context.broadcast(_table(counts.where("n > 1").select(at), filter_bits))
+    anchors = context.broadcast(build(counts.where("n > 1").select("key"), filter_bits))
 
-    scanned = rows.mapInArrow(_scan(anchors, filter_bits), "id bigint, n_words bigint, digest string, text string")
+    scanned = rows.mapInArrow(_scan(anchors), "id bigint, n_words bigint, digest string, text string")
     scanned = store(scanned.withColumn("rid", F.monotonically_increasing_id()))
-    plain = scanned.select("rid", "id", "n_words", "digest")
-    first = store(plain.groupBy("n_words", "digest").agg(F.min(F.struct("id", "rid")).alias("first")))
-    chosen = store(scanned.where(F.col("text").isNotNull())
-                   .join(first.select(F.col("first.rid").alias("rid")), "rid", "left_semi").select("rid", "id", "text"))
-
-    known = (chosen.select("text").mapInArrow(_count_prefixes(anchors, filter_bits, slot_bits), "depth int, slot bigint, n bigint")
-             .groupBy("depth", "slot").agg(F.sum("n").alias("n")).where(F.col("n") > group_rows).select("depth", F.col("slot").alias("at")))
-    known = store(known)
-    frequent = context.broadcast({d: _table(known.where(F.col("depth") == d).select("at"), slot_bits) for d in _DEPTHS})
-
-    least = F.coalesce("id", F.lit(-(1 << 63)).cast("bigint")).alias("id")
-    suffixes = store(chosen.select("rid", least, "text").mapInArrow(
-        _suffixes(anchors, filter_bits, frequent, slot_bits),
-        "key bigint, tail bigint, id bigint, rid bigint, start int, whole boolean"))
-    rare, whole = suffixes.where(~F.col("whole")), suffixes.where("whole")
-    tasks = max(1, -(-rare.count() // task_rows))
-    low = (rare.withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks))).groupBy("task")
-           .applyInPandas(_subtrees, "rid bigint, start int"))
-    earliest = store(whole.groupBy("key", "tail").agg(F.min(F.struct("id", "rid", "start")).alias("e")))
-    high = whole.join(earliest, ["key", "tail"]).where(
-        (F.col("rid") != F.col("e.rid")) | (F.col("start") != F.col("e.start"))).select("rid", "start")
-    starts = low.unionByName(high).groupBy("rid").agg(F.collect_list("start").alias("starts"))
-    cleaned = store(chosen.select("rid", "text").join(starts, "rid").mapInArrow(
-        _clean(with_text), "rid bigint, n_removed bigint, kept_sha256 string, spans array<struct<begin:int,end:int>>, kept string"))
+    # numbers in the order of ids stand for documents from here on
+    plain = scanned.select("rid", "id", "n_words", "digest").repartitionByRange(F.col("id").asc_nulls_first(), "rid")
+    plain = store(plain.sortWithinPartitions(F.col("id").asc_nulls_first(), "rid").withColumn("no", F.monotonically_increasing_id()))
+    first = store(plain.groupBy("n_words", "digest").agg(F.min("no").alias("first")))
+    earliest = plain.join(first.select(F.col("first").alias("no")), "no", "left_semi").select("rid", "no")
+    chosen = store(scanned.where(F.col("text").isNotNull()).select("rid", "text").join(store(earliest), "rid").select("no", "text"))
+
+    least = group_rows // (4 * max(1, chosen.rdd.getNumPartitions()))
+    known = store(chosen.select("text").mapInArrow(_count_prefixes(anchors, slot_bits, max(1, least)), "depth int, slot bigint, n bigint")
+                  .groupBy("depth", "slot").agg(F.sum("n").alias("n")))
+    candidates = known.where("depth = 0").agg(F.sum("n")).first()[0] or 0
+    table = {d: np.zeros(1 << slot_bits, bool) for d in _DEPTHS}  # fixed in size, as the number of slots is
+    found = known.where((F.col("depth") > 0) & (F.col("n") > group_rows)).toArrow()
+    depths, slots = found.column("depth").to_numpy(), found.column("slot").to_numpy()
+    for d in _DEPTHS:
+        table[d][slots[depths == d]] = True
+    frequent = context.broadcast(table)
+
+    def suffixes(whole: bool) -> DataFrame:
+        return chosen.mapInArrow(_suffixes(anchors, frequent, slot_bits, whole), "key bigint, tail bigint, no bigint, start int")
+
+    tasks = max(1, -(-candidates // task_rows))
+    low = (suffixes(False).withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks))).groupBy("task")
+           .applyInPandas(_subtrees, "no bigint, start int"))
+    whole = store(suffixes(True))
+    before = store(whole.groupBy("key", "tail").agg(F.min(F.struct("no", "start")).alias("e")))
+    high = whole.join(before, ["key", "tail"]).where(F.struct("no", "start") != F.col("e")).select("no", "start")
+    starts = low.unionByName(high).groupBy("no").agg(F.collect_list("start").alias("starts"))
+    cleaned = store(chosen.join(starts, "no").mapInArrow(
+        _clean(with_text), "no bigint, n_removed bigint, kept_sha256 string, spans array<struct<begin:int,end:int>>, kept string"))
 
     nothing = hashlib.sha256(b"").hexdigest()
-    copy = (F.col("rid") != F.col("first.rid")) & (F.col("n_words") >= WINDOW)
+    copy = (F.col("no") != F.col("first")) & (F.col("n_words") >= WINDOW)
     every = F.array(F.struct(F.lit(0).alias("begin"), F.col("n_words").cast("int").alias("end")))
     return (
-        plain.join(first, ["n_words", "digest"]).join(cleaned, "rid", "left")
+        plain.join(first, ["n_words", "digest"]).join(cleaned, "no", "left")
         .select(
             F.col("id").alias(id_col), "n_words",
             F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),
