@@ -131,6 +131,25 @@ def test_terms_that_give_entities_away(documents):
     assert clean[302] == "zorblax alone" and clean[303] == "one time [email] only" and clean[401] == "same place wumpus [email]"
 
 
+def test_terms_far_from_entities_seen_twice(documents):
+    rng = random.Random(8)
+    common = [a + b for a in "bcdfghjk" for b in ("ala", "elo", "ipu", "ora", "umi")]
+
+    def prose(n):
+        return " ".join(rng.choice(common) for _ in range(n))
+
+    rows = [(i, f"Vexmoor {prose(60)} ann@x.org {prose(60)} so vexmoor") for i in range(2)]
+    once = f"{prose(50)} krandle {prose(50)} tel +49 30 1234567 89 {prose(30)}"
+    rows += [(2, once), (3, once + " end")]  # near copies
+    rows += [(10 + i, prose(40)) for i in range(400)]
+    frame = documents(*rows)
+    found = find_pii(frame)
+    added = {r["doc_id"]: r["n_added"] for r in found.collect()}
+    assert added == {i: 2 if i < 2 else 0 for i, _ in rows}
+    clean = {r["doc_id"]: r["text"] for r in sanitise(frame, found).collect()}
+    assert "exmoor" not in clean[0] + clean[1] and clean[0].count("[email]") == 1 and "krandle" in clean[2]
+
+
 @pytest.mark.parametrize("name", ["op1_byte_bpe", "op2_pii", "op3_language_id", "op4_token_counts", "op6_toxicity"])
 def test_empty_tables(spark, documents, folder, name):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
