@@ -82,10 +82,15 @@ def targets(sources: DataFrame, cap: int = CAP, share: float = 1.0) -> DataFrame
     return sources.withColumn("target", F.least(F.col("weight") * F.lit(level), ceiling.cast("double")))
 
 
-def plan(docs: DataFrame, weigh=cyclic_weights, cap: int = CAP, share: float = 1.0, seed: str = SEED) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
+def plan(docs: DataFrame, weigh=cyclic_weights, cap: int = CAP, share: float = 1.0, seed: str = SEED,
+         row: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken, and the columns of ``row``.
+
+    Equal ids are ordered by text and by ``row``, if that is given.
+    """
     size = F.regexp_count("text", F.lit(WORD)).cast("bigint")
-    rows = store(texts(docs, "doc_id", "source").select("doc_id", "source", size.alias("size")))
+    ties = [F.xxhash64("text").alias("_digest")] if row else []
+    rows = store(texts(docs, "doc_id", "source", *row).select("doc_id", "source", *row, *ties, size.alias("size")))
     rows = rows.withColumns({
         "class": size_class(F.col("size")),
         "bucket": F.coalesce(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 2), F.lit("")),
@@ -104,24 +109,21 @@ def plan(docs: DataFrame, weigh=cyclic_weights, cap: int = CAP, share: float = 1
     within = cells.select("source", "class", "bucket", before("source", "class", "bucket").alias("buckets_before"))
     bases = _join(_join(within, whole, "source", "class"), aims, "source")
     ranked = rows.withColumn(
-        "_i", F.row_number().over(Window.partitionBy("source", "class", "bucket").orderBy("doc_id")))
+        "_i", F.row_number().over(Window.partitionBy("source", "class", "bucket").orderBy("doc_id", *(["_digest"] if row else []), *row)))
     joined = _join(ranked, bases, "source", "class", "bucket")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     i, u = F.col("classes_before") + F.col("buckets_before") + F.col("_i"), offset(F.col("source"), seed)
     copies = F.floor(i * rate + u) - F.floor((i - 1) * rate + u)
     return joined.withColumn("copies", F.least(copies, F.lit(cap)).cast("bigint")).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        "doc_id", "source", *row, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, weigh=cyclic_weights, cap: int = CAP, share: float = 1.0, seed: str = SEED) -> DataFrame:
-    """The rows of ``docs``, each as often as the plan takes it.
-
-    Rows that repeat an id are one document, emitted as often as their plans say together.
-    """
-    planned = store(plan(docs, weigh, cap, share, seed).select("doc_id", "copies"))
-    per_id = planned.groupBy("doc_id").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    if not per_id.where("_rows > 1").isEmpty():
-        docs = docs.dropDuplicates(["doc_id"])
-    taken = per_id.where("_copies > 0").select(F.col("doc_id").alias("_id"), "_copies")
-    both = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return both.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+    """The rows of ``docs``, each as often as the plan takes it, whatever its id: rows are stored with a number."""
+    row = "_row"
+    while row in docs.columns:
+        row = "_" + row
+    rows = store(docs.withColumn(row, F.monotonically_increasing_id()))
+    taken = plan(rows, weigh, cap, share, seed, (row,)).where("copies > 0").select(F.col(row).alias("_taken"), F.col("copies").alias("_copies"))
+    both = rows.join(taken, F.col(row) == F.col("_taken"))
+    return both.select(*[rows[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), taken["_copies"].cast("int"))).alias("_copy")).drop("_copy")

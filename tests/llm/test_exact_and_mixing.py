@@ -75,3 +75,12 @@ def test_mix_follows_the_plan(documents):
 def test_mix_with_repeated_rows(documents):
     frame = documents((1, "a b", None, "s"), (1, "a b", None, "s"), (2, "c", None, "s"))
     assert mix(frame).count() == sum(r["copies"] for r in plan(frame).collect())
+
+
+def test_mix_keeps_texts_of_repeated_and_null_ids(documents):
+    rows = [(None, f"a b {i}", None, "s") for i in range(12)] + [(7, f"c {i} d", None, "s") for i in range(12)]
+    frame = documents(*rows, extra=("_row",))
+    texts_ = [r["text"] for r in mix(frame).collect()]
+    assert len(texts_) == sum(r["copies"] for r in plan(frame).collect())
+    assert set(texts_) == {t for _, t, *_ in rows} and max(map(texts_.count, texts_)) <= 3
+    assert mix(frame).columns == frame.columns
