@@ -3,8 +3,8 @@
 The lexicon is learned: words and word beginnings that labelled toxic documents have far more
 often than others (log-likelihood ratio above the logarithm of the number of terms tried).
 Features of a text: density, number, variety and weight of lexicon hits; hits with a
-second-person word near; hits that show only after obfuscation (digits for letters, signs
-inside words) is undone; capitals, exclamation and question marks; signs inside words; length.
+second-person word near; hits that show only after obfuscation (digits for letters, at the edges of
+words too, one or more signs inside words) is undone in words that hold a letter; capitals, exclamation and question marks; signs inside words; length.
 
 Fitting: of the labelled rows allowed for learning, the ``max_labelled`` first by a hash of the
 id are used (a documented bound, so they may be broadcast). A part gives the lexicon, another the
@@ -44,7 +44,8 @@ _NEAR = 40  # characters
 _YOU = re.compile(r"\b(?:you|your|yours|yourself|ya|u|du|dich|dir|dein|deine|ihr|euch|tu|te|toi|ton|ta|tes|vous|votre|tú|ti|tus|usted|ustedes|vosotros)\b")
 # fixed values: signs written for letters
 _LEET = str.maketrans("0134578@$", "oieastbas")
-_INNER = re.compile(r"(?<=[^\W_])[.*_\-](?=[^\W_])")
+_INNER = re.compile(r"(?<=[^\W_])[.*_\-]+(?=[^\W_])")
+_RUN = re.compile(r"(?<![^\t\n\v\f\r ])[^\t\n\v\f\r 0-9@$*_.\-]*+[0-9@$*_.\-][^\t\n\v\f\r ]*+")
 
 FEATURES = (
     "lexicon_density", "lexicon_hits", "lexicon_variety", "lexicon_weight", "you_hits", "you_density",
@@ -131,15 +132,44 @@ def _hits(automaton, text: str) -> list[tuple[int, int, str, float]]:
     return out
 
 
-_UPPER, _BANG, _ASK, _LETTER, _SIGN, _SPACE = (np.zeros(256, bool) for _ in range(6))
+def _hidden(automaton, text: str) -> int:
+    """Hits that show only when signs in runs of non-blanks that hold a letter are undone."""
+    total = 0
+    for m in _RUN.finditer(text):
+        run = m[0]
+        plain = _INNER.sub("", run.translate(_LEET))
+        if plain != run and any(map(str.isalpha, run)):
+            total += max(0, len(_hits(automaton, plain)) - len(_hits(automaton, run)))
+    return total
+
+
+_UPPER, _BANG, _ASK, _LETTER, _FOR_LETTER, _JOINT, _SPACE = (np.zeros(256, bool) for _ in range(7))
 _UPPER[65:91] = True
 _BANG[33] = True
 _ASK[63] = True
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
-_SIGN[[*b"0123456789@$*_.-"]] = True
+_FOR_LETTER[[*b"0123456789@$"]] = True
+_JOINT[[*b"*_.-"]] = True
 _SPACE[[*b"\t\n\v\f\r "]] = True
 
 
+def _signs(raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Signs in runs of non-blanks that hold a letter: those written for letters anywhere, others between letters or such."""
+    run, letter, joint = np.cumsum(begins), _LETTER[raw], _JOINT[raw]
+    lettered = np.bincount(run[letter], minlength=len(raw) + 1) > 0
+    signs = _FOR_LETTER[raw] & lettered[run]
+    part = np.flatnonzero(~joint)
+    at = np.flatnonzero(joint)
+    place = np.searchsorted(part, at)
+    inside = (place > 0) & (place < len(part))
+    at, place = at[inside], place[inside]
+    left, right = part[place - 1], part[place]
+    solid = letter | _FOR_LETTER[raw]
+    same = (run[left] == run[at]) & (run[right] == run[at]) & solid[left] & solid[right] & lettered[run[at]]
+    signs[at[same]] = True
+    return signs
+
+
 def feature_rows(column: pa.Array, lexicon: tuple[tuple[str, float], ...]) -> np.ndarray:
     """One row of ``FEATURES`` per text of an Arrow column without nulls."""
     raw, ends = utf8(column)
@@ -154,9 +184,7 @@ def feature_rows(column: pa.Array, lexicon: tuple[tuple[str, float], ...]) -> np
     begins[1:] &= space[:-1]
     begins[ends[:-1][ends[:-1] < len(raw)]] = ~space[ends[:-1][ends[:-1] < len(raw)]]
     words = per_text(begins)
-    letter, inner = _LETTER[raw], np.zeros(len(raw), bool)
-    inner[1:-1] = _SIGN[raw[1:-1]] & letter[:-2] & letter[2:]
-    signs = per_text(inner)
+    signs = per_text(_signs(raw, begins))
     out = np.zeros((len(column), len(FEATURES)))
     out[:, 7], out[:, 8], out[:, 9] = per_text(_UPPER[raw]) / size, per_text(_BANG[raw]) / size, per_text(_ASK[raw]) / size
     out[:, 10], out[:, 11] = signs / np.maximum(words, 1), np.log1p(words)
@@ -171,8 +199,7 @@ def feature_rows(column: pa.Array, lexicon: tuple[tuple[str, float], ...]) -> np
                 weights = [w for _, _, _, w in hits]
                 out[i, :6] = len(hits) / n, len(hits), len({t for _, _, t, _ in hits}), max(weights), near, near / n
             if signs[i]:
-                plain = _INNER.sub("", text).translate(_LEET)
-                out[i, 6] = max(0, len(_hits(automaton, plain)) - len(hits))
+                out[i, 6] = _hidden(automaton, text)
     return out
 
 

@@ -229,3 +229,14 @@ def test_features_of_bytes():
     assert named[1]["signs_in_words"] == 1 / 2
     assert (named[2]["lexicon_hits"], named[2]["you_hits"]) == (1, 1)
     assert (named[3]["lexicon_hits"], named[3]["hidden_hits"]) == (0, 1)
+
+
+@pytest.mark.parametrize(("text", "hidden", "signs"), [
+    ("$tupid", 1, 1), ("1d10t", 1, 3), ("a55hole", 1, 2), ("1d1ot", 1, 2), ("st..upid.", 1, 2), ("x 1d10t. e.g", 1, 4),
+    ("stupid. - 455 1.5", 0, 0), ("455 e.g", 0, 1), ("stupid", 0, 0)])
+def test_disguised_words_at_edges(text, hidden, signs):
+    import pyarrow as pa
+
+    lexicon = tuple((f"{w} ", 3.0) for w in ("ass", "asshole", "idiot", "stupid"))
+    row = dict(zip(FEATURES, feature_rows(pa.array(["e", text, "1"]), lexicon)[1].tolist(), strict=True))
+    assert row["hidden_hits"] == hidden and round(row["signs_in_words"] * len(text.split())) == signs
