@@ -10,8 +10,10 @@ Letters are lower-cased; all else is one symbol. Long texts are parsed in stretc
 advance together, one symbol a step, in numpy.
 
 Fitting uses a bounded sample of the labelled documents: per language the ``sample_docs``
-documents first by a hash of the id, ``sample_chars`` characters of each, and fewer where there
-are so many languages that ``total_chars`` would be passed. Only the sample (not the automata) is sent to the
+different texts first by a hash of the text, ``sample_chars`` characters of each in the mean, and fewer where there
+are so many languages that ``total_chars`` would be passed. Whole texts are used where they fit together;
+else pieces of ``PIECE`` characters from all over them, first by a hash and equal ones once,
+so neither a common beginning nor copies fill the sample. Only the sample (not the automata) is sent to the
 executors. Predictions cover every whole text and need no exchange.
 
 Results: ``und`` with score 0 for null and empty texts and texts without a letter, and where nothing
@@ -31,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskmeter.llm.common import slices, texts
+from deskmeter.llm.common import slices, store, texts
 
 SAMPLE_DOCS, SAMPLE_CHARS, TOTAL_CHARS = 32, 1000, 2_000_000
-STRETCH = 1024
+STRETCH, PIECE = 1024, 250
 BATCH_BYTES = 2 << 20
 _GAP, _OTHER, _FIRST = 0, 1, 2  # not a letter, a letter without a symbol of its own
 _SYMBOLS = 250
@@ -146,21 +148,35 @@ def _parser(sample: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(dict(sample))
 
 
-def training_sample(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str = "doc_id",
-                    text_col: str = "text", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
+def training_sample(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str = "text",
+                    sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
                     total_chars: int = TOTAL_CHARS) -> dict[str, str]:
     """Language -> text, from a bounded number of characters of labelled documents."""
-    rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = (
-        rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"),
-                    F.substring(text_col, 1, sample_chars).alias("text"))
-        .withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample_docs)
-    )
-    gathered = picked.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("_n", "text"))).alias("parts"))
-    found = {r["lang"]: "\n".join(p["text"] for p in r["parts"]) for r in gathered.toLocalIterator()}
-    share = max(1, min(sample_docs * (sample_chars + 1), total_chars // max(1, len(found))))
-    return {lang: text[:share] for lang, text in found.items()}
+    rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
+        F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("digest"), "digest")
+    picked = store(rows.select("lang", "digest").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_docs))
+    share = max(1, min(sample_docs * (sample_chars + 1), total_chars // max(1, picked.select("lang").distinct().count())))
+    # sample_docs rows a language: a bound for the broadcast; copies of a text meet as partial aggregates
+    whole = rows.join(F.broadcast(picked), ["lang", "digest"]).groupBy("lang", "n").agg(F.first("text").alias("text"))
+    fits = F.sum(F.length("text") + 1).over(Window.partitionBy("lang")) <= share
+    pieces = whole.withColumn("fits", fits).select("lang", "n", "fits", F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int")),
+        lambda i: F.substring("text", i * PIECE + 1, F.lit(PIECE)))).alias("pos", "piece"))
+    place = F.when(F.col("fits"), F.struct("n", "pos"))
+    once = pieces.groupBy("lang", "piece", place.alias("place")).agg(F.min(F.struct("n", "pos")).alias("at"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("at.n", "at.pos"), "at").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.length("piece") + 1).over(order), F.lit(0))
+    chosen = once.withColumn("before", before).where(F.col("before") < share)
+    gathered = chosen.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("parts"))
+    found = {}
+    for r in gathered.toLocalIterator():
+        text, last = "", None
+        for at, piece in r["parts"]:
+            text += piece if last in (None, (at["n"], at["pos"] - 1)) else "\n" + piece
+            last = (at["n"], at["pos"])
+        found[r["lang"]] = text[:share]
+    return found
 
 
 def identify(docs: DataFrame, sample: dict[str, str], id_col: str = "doc_id", text_col: str = "text",

@@ -190,6 +190,27 @@ def test_language_held_out(spark, small, documents):
     assert {r["lang_pred"] for r in identify(documents((1, "abc")), {}).collect()} == {"und"}
 
 
+def test_language_below_a_common_beginning(documents):
+    from pyspark.sql import functions as F
+
+    rng, head = random.Random(9), "this licence applies to all of the files " * 30
+    words = {"aa": ["lorem", "ipsum", "dolor", "amet"], "bb": ["kukka", "talvi", "metsa", "jarvi"]}
+
+    def body(lang, n):
+        return " ".join(rng.choice(words[lang]) for _ in range(n))
+
+    rows = [(i, head + body(lang, 3000), lang) for i, lang in enumerate(["aa", "bb"] * 8)]
+    rows += [(100 + i, head + "copied " * 50, "aa") for i in range(60)]
+    sample = training_sample(documents(*rows), F.lit(True))
+    assert all(len(t) <= 32 * 1001 for t in sample.values()) and sample["aa"].count("copied") <= 50
+    assert all(sample[x].count(w) > 100 for x, ws in words.items() for w in ws)
+    assert all(t.count("licence") <= 60 for t in sample.values())
+    asked = documents(*[(i, body(x, 30), x) for i, x in enumerate(["aa", "bb"] * 5)])
+    assert [r["lang_pred"] for r in identify(asked, sample).orderBy("doc_id").collect()] == ["aa", "bb"] * 5
+    few = documents((1, "eins zwei drei " * 100, "de"), (2, "vier fünf", "de"))
+    assert sorted(training_sample(few, F.lit(True))["de"].split("\n")) == ["eins zwei drei " * 100, "vier fünf"]
+
+
 def test_toxicity_learns(spark, documents):
     from pyspark.sql import functions as F
 
