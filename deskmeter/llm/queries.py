@@ -240,13 +240,13 @@ def op12_token_files(spark, folder):
 def repeat_tails(docs):
     """Every tenth document by hash with a tail that repeats its own first words."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    g, words = F.floor(crc / 10), F.regexp_extract_all("text", F.lit(f"({WORD})"))
-    n = F.size(words)
-    a = (g % n).cast("int")
-    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
-    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, (a + (i - a) % p).cast("int")))
-    changed = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
-    return docs.withColumn("text", F.when((crc % 10 == 0) & (n > 0), changed).otherwise(F.col("text")))
+    words = F.when(crc % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})")))
+    rows = docs.select("doc_id", "text", words.alias("words"), F.floor(crc / 10).alias("g"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.transform(F.sequence("a", F.col("n") - 1), lambda i: F.get("words", F.col("a") + (i - F.col("a")) % F.col("p")))
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
 
 
 @query
