@@ -29,6 +29,7 @@ from __future__ import annotations
 import json
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +46,7 @@ FOOTER = struct.Struct("<12q")
 EVERY = 256
 BATCH_BYTES = 4 << 20
 MEMORY_WORDS = 400_000
+WORDS_AT_ONCE = 2048
 IDS_PER_FILE = 1 << 26
 DOCS_PER_FILE = 1 << 22
 DOCS_PER_READ = 1 << 13
@@ -156,17 +158,28 @@ class Encoder:
         self.number: dict[bytes, int] = {}
         self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word. Lower-case ASCII letters stay as they are on their way to the model, which takes them itself."""
+        plain = [w.isascii() and w.isalpha() for w in words]
+        rest = iter(self.tokenizer.encode_batch_fast(
+            [w for w, is_plain in zip(words, plain, strict=True) if not is_plain], add_special_tokens=False))
+        model = self.tokenizer.model
+        return [[t.id for t in model.tokenize(w)] if is_plain else next(rest).ids for w, is_plain in zip(words, plain, strict=True)]
+
     def _numbers(self, words: list[bytes]) -> np.ndarray:
         new = [w for w in words if w not in self.number]
         if len(self.number) + len(new) > self.memory:
             self.forget()
             new = words
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
+            sizes, ids = array("q"), array("I")
+            for i in range(0, len(new), WORDS_AT_ONCE):
+                for found in self._encoded([w.decode() for w in new[i : i + WORDS_AT_ONCE]]):
+                    sizes.append(len(found))
+                    ids.extend(found)
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-            ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-            self.begin = np.concatenate([self.begin, self.begin[-1] + ends])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(ends[-1]))])
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.frombuffer(sizes, np.int64))])
+            self.ids = np.concatenate([self.ids, np.frombuffer(ids, np.uint32)])
         return np.fromiter((self.number[w] for w in words), np.int64, len(words))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
