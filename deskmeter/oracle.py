@@ -464,3 +464,7 @@ _REPORT = _W_BOTH + ", counted as (" + " union all ".join(
 ORACLE["dq_report"] = _REPORT + "select * from report"
 ORACLE["dq_totals"] = _REPORT + """select count(*) filter (status = 'PASS')::bigint as passed,
     count(*) filter (status = 'ERROR')::bigint as errors from report"""
+
+from deskmeter import oracle_io  # noqa: E402
+
+ORACLE.update(oracle_io.ORACLE)

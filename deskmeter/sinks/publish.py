@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,5 +130,21 @@ def write_document(document: DataFrame, path: str) -> None:
     document.coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_json_array(df: DataFrame, path: str, options: dict[str, str] | None = None) -> None:
+    """Every partition as one file that holds one JSON array; ``options`` are those of ``to_json``."""
+
+    def frame(batches):
+        opened = False
+        for batch in batches:
+            if batch.num_rows:
+                text = ("," if opened else "[") + ",".join(batch.column(0).to_pylist())
+                opened = True
+                yield pa.RecordBatch.from_pydict({"value": [text]})
+        yield pa.RecordBatch.from_pydict({"value": ["]" if opened else "[]"]})
+
+    records = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false", **(options or {})}).alias("value"))
+    records.mapInArrow(frame, "value string").write.mode("overwrite").option("lineSep", " ").text(path)
+
+
 def read_layer(spark: SparkSession, lake: str, layer: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{lake.rstrip('/')}/{layer}/{name}")

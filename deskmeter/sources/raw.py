@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskmeter import schemas
+from deskmeter.sources.json_array import read_json_array
 
 
 def read_tickets(spark: SparkSession, path: str) -> DataFrame:
@@ -29,21 +30,26 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MESSAGES).option("mode", "FAILFAST").json(path)
 
 
+def check_keys(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Fail if a field of ``schema`` is a key of no record: it would be read as missing everywhere."""
+    keys = F.json_object_keys("value")
+    found = spark.read.text(path).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.max(F.array_contains(keys, f.name)).alias(f.name) for f in schema.fields]).first()
+    if found["_rows"] and (absent := [f.name for f in schema.fields if not found[f.name]]):
+        raise ValueError(f"keys missing in {path}: {', '.join(absent)}")
+
+
 def read_events(spark: SparkSession, path: str, indent: int | None = None) -> DataFrame:
     """One row per element of a top-level JSON array.
 
-    A JSON document as such cannot be split and is read by one task per file. When the
-    file is pretty-printed with a known ``indent``, the line break plus brace between two
+    A file of any layout is read in byte ranges, in two passes. When the
+    file is pretty-printed with a known ``indent``, one pass is enough: the line break plus brace between two
     top-level elements is a safe record separator (a line break inside a JSON string is
     always escaped and nested objects sit deeper), so the text scan splits the file like
     any other. A file laid out differently fails to parse instead of losing rows.
     """
     if indent is None:
-        return (
-            spark.read.schema(schemas.TICKET_EVENTS)
-            .options(multiLine=True, mode="FAILFAST")
-            .json(path)
-        )
+        return read_json_array(spark, path, schemas.TICKET_EVENTS)
     pad = " " * indent
     pieces = spark.read.option("lineSep", f"\n{pad}}},\n{pad}{{").text(path)
     # only the file's first and last piece still carry the outer brackets
