@@ -12,7 +12,7 @@ of twelve little-endian 64-bit integers and ``TOKENSEF`` again, so that it can b
 Order and faults: documents are dealt out by ranges of (id, hash of the text) and sorted, so that file after file holds
 them by ascending id; rows of one id are ordered by text and may be in several files. A task
 writes files of its own names and reports them; only reported files are in the manifest, so what a lost
-task left behind is never read. Memory: a batch of texts, a bounded memory of words, and 16 bytes for each document of
+task left behind is never read. Memory: a batch of texts, a bounded memory of words (about 50 MB), and 16 bytes for each document of
 the file at hand, whose number is bounded, as the number of ids is.
 
 Texts are cut where the tokenizer's own pattern always cuts (white space, and between ASCII letters, digits
@@ -44,8 +44,8 @@ from deskmeter.llm.common import lengths, slices, texts, utf8
 MAGIC = b"TOKENSEF"
 FOOTER = struct.Struct("<12q")
 EVERY = 256
-BATCH_BYTES = 4 << 20
-MEMORY_WORDS = 400_000
+BATCH_BYTES = 5 << 19
+MEMORY_WORDS = 600_000
 WORDS_AT_ONCE = 2048
 IDS_PER_FILE = 1 << 26
 DOCS_PER_FILE = 1 << 22
@@ -155,7 +155,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.words = pa.array([], pa.large_binary())
         self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def _encoded(self, words: list[str]) -> list[list[int]]:
@@ -166,21 +166,26 @@ class Encoder:
         model = self.tokenizer.model
         return [[t.id for t in model.tokenize(w)] if is_plain else next(rest).ids for w, is_plain in zip(words, plain, strict=True)]
 
-    def _numbers(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in words if w not in self.number]
-        if len(self.number) + len(new) > self.memory:
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """The place of each different word among those remembered; new ones are encoded first."""
+        found = pc.index_in(words, value_set=self.words)
+        if len(self.words) + found.null_count > self.memory:
             self.forget()
-            new = words
-        if new:
-            sizes, ids = array("q"), array("I")
+            found = pc.index_in(words, value_set=self.words)
+        missing = found.is_null()
+        if found.null_count:
+            new, sizes, ids = words.filter(missing), array("q"), array("I")
             for i in range(0, len(new), WORDS_AT_ONCE):
-                for found in self._encoded([w.decode() for w in new[i : i + WORDS_AT_ONCE]]):
-                    sizes.append(len(found))
-                    ids.extend(found)
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+                for own in self._encoded([w.decode() for w in new.slice(i, WORDS_AT_ONCE).to_pylist()]):
+                    sizes.append(len(own))
+                    ids.extend(own)
             self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.frombuffer(sizes, np.int64))])
             self.ids = np.concatenate([self.ids, np.frombuffer(ids, np.uint32)])
-        return np.fromiter((self.number[w] for w in words), np.int64, len(words))
+        places = found.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int32)
+        places[missing.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(found.null_count)
+        if found.null_count:
+            self.words = pa.concat_arrays([self.words, new])
+        return places
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and the number of each text's."""
@@ -212,11 +217,12 @@ class Encoder:
         at = np.append(begin, len(data)).astype(np.int64)
         parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(at), pa.py_buffer(data)])
         parts = parts.dictionary_encode()
-        number = self._numbers(parts.dictionary.to_pylist())[parts.indices.to_numpy(zero_copy_only=False)]
+        number = self._numbers(parts.dictionary)[parts.indices.to_numpy(zero_copy_only=False)]
         size = np.diff(self.begin)[number] if len(number) else np.zeros(0, np.int64)
         done = np.concatenate([[0], np.cumsum(size)])
-        ids = self.ids[np.repeat(self.begin[number] - done[:-1], size) + np.arange(done[-1])]
-        return ids, np.diff(done[np.concatenate([[0], np.cumsum(per_text)])])
+        from_ = np.repeat((self.begin[number] - done[:-1]).astype(np.int32), size)
+        from_ += np.arange(done[-1], dtype=np.int32)
+        return self.ids[from_], np.diff(done[np.concatenate([[0], np.cumsum(per_text)])])
 
 
 class _Writer:
