@@ -7,7 +7,8 @@ word has a pair left; a word that is a token itself is that token. Decoding join
 vocabulary and puts the bytes together by an ordered aggregate.
 
 Scale: no exchange; Spark deals out the rows, and DuckDB (one thread, in memory, no files) sees the
-distinct words of one batch of ``BATCH_BYTES``. Known words are remembered up to ``REMEMBERED`` of them.
+distinct words of one batch of ``BATCH_BYTES``. Known words are remembered in Arrow and numpy arrays, of
+``REMEMBERED_BYTES`` at most, whatever the number of tasks of a worker.
 The rounds of the query grow with a word's length, so words over ``LONG`` bytes (which
 natural text hardly has) are contracted by the same rule with a heap. Long texts are
 worked through in stretches of ``STRETCH`` words. What is sent to the executors is the vocabulary file.
@@ -24,17 +25,18 @@ import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmeter.llm.common import lengths, slices, texts
+from deskmeter.llm.common import lean, lengths, slices, texts
 
-BATCH_BYTES, STRETCH, REMEMBERED, LONG, QUERY_WORDS = 4 << 20, 400_000, 800_000, 256, 20_000
+BATCH_BYTES, STRETCH, REMEMBERED_BYTES, LONG, QUERY_WORDS = 2 << 20, 400_000, 48 << 20, 256, 20_000
 
 # fixed values: code points that the pattern engine here counts as letters or numbers and the tokenizer's
 # library, with an older Unicode version, does not
@@ -88,7 +90,8 @@ class Coder:
         for plain, without in older:
             pattern = pattern.replace(plain, without)
         self.careful = regex.compile(pattern, regex.V1)
-        self.known: dict[str, tuple[int, str, bytes]] = {}
+        self.written = [str(i) for i in range(max(self.tokens) + 1)]
+        self.forget()
         merges = [
             (a, b, i) for token, i in self.ranks.items() for k in range(1, len(token))
             if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None
@@ -160,52 +163,87 @@ class Coder:
             out[r] = bytes.fromhex(text)
         return out
 
-    def learn(self, words: set[str]) -> None:
-        """Encode and decode the words not known yet."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = [w for w in words if w not in self.known]
+    # -- remembered words ----------------------------------------------------------------------
+    def forget(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.byte, self.bytes = np.zeros(1, np.int64), np.zeros(0, np.uint8)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where each of these different words stands among those remembered; new ones are encoded and decoded first."""
+        if self.words.nbytes + self.ids.nbytes + self.bytes.nbytes + self.begin.nbytes * 2 > REMEMBERED_BYTES:
+            self.forget()
+        found = pc.index_in(words, value_set=self.words)
+        missing = found.is_null()
+        out = found.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        out[missing.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(found.null_count)
+        fresh = words.filter(missing)
         for at in range(0, len(fresh), QUERY_WORDS):
-            part = fresh[at : at + QUERY_WORDS]
-            raw = [w.encode() for w in part]
+            raw = [w.encode() for w in fresh.slice(at, QUERY_WORDS).to_pylist()]
             ids: list = [[self.ranks[w]] if w in self.ranks else None for w in raw]
             todo = [i for i, w in enumerate(raw) if ids[i] is None and len(w) <= LONG]
-            for i, found in zip(todo, self.contract([raw[i] for i in todo]) if todo else [], strict=True):
-                ids[i] = found.tolist()
-            ids = [self.contract_long(w) if x is None else x for x, w in zip(ids, raw, strict=True)]
-            for w, x, b in zip(part, ids, self.decode(ids), strict=True):
-                self.known[w] = (len(x), " ".join(map(str, x)), b)
+            for i, own in zip(todo, self.contract([raw[i] for i in todo]) if todo else [], strict=True):
+                ids[i] = own
+            ids = [np.asarray(self.contract_long(w) if x is None else x, np.int32) for x, w in zip(ids, raw, strict=True)]
+            decoded = self.decode(ids)
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in ids])])
+            self.byte = np.concatenate([self.byte, self.byte[-1] + np.cumsum([len(b) for b in decoded])])
+            self.ids = np.concatenate([self.ids, *ids])
+            self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(decoded), np.uint8)])
+        self.words = pa.concat_arrays([self.words, fresh])
+        return out
 
     # -- texts ---------------------------------------------------------------------------------
-    def stretches(self, column: list[str]) -> Iterator[tuple[int, list[tuple[int, str, bytes]]]]:
-        """(text, entries of its next words) for all texts of a batch, in order."""
+    def stretches(self, column: list[str]) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
+        """(texts, places of their words, number of words of each) for all texts of a batch, in order."""
         if sum(map(len, column)) <= 2 * BATCH_BYTES:
             found = [self.pattern(t).findall(t) for t in column]
-            self.learn(set().union(*found))
-            for i, words in enumerate(found):
-                yield i, [self.known[w] for w in words]
+            yield range(len(column)), *self._placed(list(chain.from_iterable(found)), [len(x) for x in found])
             return
         for i, text in enumerate(column):
             matches = (m[0] for m in self.pattern(text).finditer(text))
             while words := list(islice(matches, STRETCH)):
-                self.learn(set(words))
-                yield i, [self.known[w] for w in words]
+                yield range(i, i + 1), *self._placed(words, [len(words)])
+
+    def _placed(self, words: list[str], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        known = pa.array(words, pa.large_string()).dictionary_encode()
+        return self.places(known.dictionary)[known.indices.to_numpy(zero_copy_only=False)], np.array(counts, np.int64)
+
+    def _ids(self, places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _gathered(self.ids, self.begin, places, counts)
 
     def encode(self, column: list[str]) -> list[np.ndarray]:
-        parts: list[list[str]] = [[] for _ in column]
-        for i, entries in self.stretches(column):
-            parts[i].append(" ".join([e[1] for e in entries]))
-        return [np.array(" ".join(p).split(), np.int32) for p in parts]
+        parts: list[list[np.ndarray]] = [[] for _ in column]
+        for rows, places, counts in self.stretches(column):
+            ids, ends = self._ids(places, counts)
+            for i, own in zip(rows, np.split(ids, ends[1:-1]), strict=True):
+                parts[i].append(own)
+        return [np.concatenate(p) if p else np.zeros(0, np.int32) for p in parts]
 
     def digests(self, column: list[str]) -> list[tuple[int, str, str]]:
         """Tokens, digest of the ids as text, digest of the decoded bytes."""
-        counts, ids, decoded = [0] * len(column), [hashlib.sha256() for _ in column], [hashlib.sha256() for _ in column]
-        for i, entries in self.stretches(column):
-            if entries:
-                ids[i].update((" " * bool(counts[i]) + " ".join([e[1] for e in entries])).encode())
-                decoded[i].update(b"".join([e[2] for e in entries]))
-                counts[i] += sum([e[0] for e in entries])
-        return [(n, a.hexdigest(), b.hexdigest()) for n, a, b in zip(counts, ids, decoded, strict=True)]
+        totals, ids, decoded = [0] * len(column), [hashlib.sha256() for _ in column], [hashlib.sha256() for _ in column]
+        for rows, places, counts in self.stretches(column):
+            flat, ends = self._ids(places, counts)
+            raw, byte_ends = _gathered(self.bytes, self.byte, places, counts)
+            raw = memoryview(raw)
+            written = [self.written[x] for x in flat.tolist()]
+            for k, i in enumerate(rows):
+                if counts[k]:
+                    own = written[ends[k] : ends[k + 1]]
+                    ids[i].update((" " * bool(totals[i]) + " ".join(own)).encode())
+                    decoded[i].update(raw[byte_ends[k] : byte_ends[k + 1]])
+                    totals[i] += len(own)
+        return [(n, a.hexdigest(), b.hexdigest()) for n, a, b in zip(totals, ids, decoded, strict=True)]
+
+
+def _gathered(values: np.ndarray, begin: np.ndarray, places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the words at ``places`` one after another, and where each text's begin (and the last ends)."""
+    size = np.diff(begin)[places] if len(places) else np.zeros(0, np.int64)
+    done = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat((begin[places] - done[:-1]).astype(np.int32), size)
+    at += np.arange(done[-1], dtype=np.int32)
+    return values[at], done[np.concatenate([[0], np.cumsum(counts)])]
 
 
 @lru_cache(maxsize=1)
@@ -227,6 +265,7 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, *keep: str, text
     vocabulary = Path(vocabulary_path).read_bytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in slices(batches, BATCH_BYTES):
             ids = coder(vocabulary, pattern).encode(batch.column("text").to_pylist())
             ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
@@ -259,6 +298,7 @@ def encode_digests(docs: DataFrame, vocabulary_path: str, pattern: str, id_col:
     vocabulary = Path(vocabulary_path).read_bytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in slices(batches, BATCH_BYTES):
             n, ids, decoded = zip(*coder(vocabulary, pattern).digests(batch.column("text").to_pylist()), strict=True)
             yield pa.RecordBatch.from_arrays(

@@ -4,32 +4,74 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskmeter.session import shared_dir
 
-#: Folders of the tables that ``store`` has written, in order.
-STORED: list[str] = []
+_owner: ContextVar[list[str] | None] = ContextVar("owner", default=None)
 
 
 def store(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the stored rows, which cuts the lineage."""
     path = f"{shared_dir(df.sparkSession)}/deskmeter-tables/{uuid.uuid4().hex}"
-    STORED.append(path)
+    if (mine := _owner.get()) is not None:
+        mine.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def owning() -> Iterator[list[str]]:
+    """The folders of the tables that ``store`` writes meanwhile, in this thread of control."""
+    token = _owner.set(mine := [])
+    try:
+        yield mine
+    finally:
+        _owner.reset(token)
+
+
 def release(spark: SparkSession, paths: list[str]) -> None:
     """Delete tables that ``store`` wrote, once nothing reads them any more."""
     for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
+
+def ranked(rows: DataFrame, *order: str, keep: tuple[str, ...], name: str = "name") -> DataFrame:
+    """The ``keep`` columns and the rank of each row (from 0) by ``order``, the same for any number of partitions.
+
+    Rows are dealt out by ranges, sorted and stored; only the number of rows per range meets in one task.
+    """
+    placed = store(rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        *keep, F.monotonically_increasing_id().alias("_at")))
+    placed = placed.withColumn("_range", F.shiftright("_at", 33))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")).select(
+        "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(starts, "_range").select(*keep, (F.col("_at") + F.col("_shift")).alias(name))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name in docs.columns:
+        name = "_" + name
+    return name
+
+
+def with_rows(docs: DataFrame, id_col: str) -> tuple[DataFrame, str, str]:
+    """``docs`` stored with a key of its own for every row, ordered by id: (rows, name of the key, name of the row's number)."""
+    row = fresh(docs, "_row")
+    rows = store(docs.withColumn(row, F.monotonically_increasing_id()))
+    key = fresh(rows, "_key")
+    return rows.withColumn(key, F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(row).alias("row"))), key, row
+
+
 #: Words of the contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -48,6 +90,11 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(-1))
 
 
+def lean() -> None:
+    """Let Arrow take memory from the system in this worker, which gets back what a batch has used."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def slices(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` has about ``size`` bytes in each; one row at least."""
     for batch in batches:

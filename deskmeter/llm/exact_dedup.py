@@ -1,6 +1,6 @@
 """Exact duplicates by deterministic block naming (Karp, Miller and Rosenberg's scheme).
 
-A text is cut into blocks of ``block_bytes`` bytes. The distinct blocks are sorted and numbered;
+A text is cut into blocks of ``block_bytes`` bytes. The distinct blocks are sorted over all tasks and numbered;
 a text is then a list of integers. Adjacent pairs of integers are sorted and numbered in turn,
 which halves the lists, until every text is one integer. Two texts have the same
 (level, integer) if and only if they are the same bytes: names are given to contents, never to
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskmeter.llm.common import store, texts
+from deskmeter.llm.common import ranked, store, texts, with_rows
 
 BLOCK_BYTES = 4096
 
@@ -46,9 +46,7 @@ def name_blocks(rows: DataFrame, block_bytes: int, seed: int = 1) -> tuple[DataF
     data = rows.select(F.explode(_blocks(F.col("text").cast("binary"), block_bytes)).alias("block"))
     while True:
         distinct = data.select(*_digest(F.col("block"), seed), "block").distinct()
-        names = store(
-            distinct.sortWithinPartitions("block").select("a", "b", F.monotonically_increasing_id().alias("name"))
-        )
+        names = ranked(distinct, "block", keep=("a", "b"))
         if names.groupBy("a", "b").count().where("count > 1").isEmpty():
             return names, seed
         seed += 1
@@ -68,10 +66,7 @@ def name_pairs(lists: DataFrame) -> DataFrame:
             )
         ).alias("pos", "pair"),
     ).select("rid", "pos", "pair.x", "pair.y")
-    names = store(
-        pairs.select("x", "y").distinct().sortWithinPartitions("x", "y")
-        .select("x", "y", F.monotonically_increasing_id().alias("name"))
-    )
+    names = ranked(pairs.select("x", "y").distinct(), "x", "y", keep=("x", "y"))
     return store(_gather(pairs.join(names, ["x", "y"])))
 
 
@@ -114,9 +109,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without exact copies, all columns kept; rows that repeat one another become one."""
-    kept = store(exact_groups(docs, id_col, text_col).where("kept").select(
-        F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_text")))
-    own = F.sha2(F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary"), 256)
-    rows = docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")) & (own == F.col("_kept_text")), "left_semi")
-    return rows.dropDuplicates()
+    """``docs`` with exactly one row of each group of equal texts, the one with the largest id; all columns kept.
+
+    Rows are decided one by one, whatever else they have in common: a null id is smaller than any other, and of rows that share
+    an id any one stays.
+    """
+    rows, key, row = with_rows(docs, id_col)
+    last = rows.withColumn(key, F.struct((~F.col(key)["no_id"]).alias("known"), F.col(key)["id"].alias("id"), F.col(key)["row"].alias("row")))
+    kept = store(exact_groups(last, key, text_col).where("kept").select(F.col(key)["row"].alias("_kept")))
+    return rows.join(kept, rows[row] == F.col("_kept"), "left_semi").select(*docs.columns)

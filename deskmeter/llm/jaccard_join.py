@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmeter.llm.bitfilter import BITS, build, passes
-from deskmeter.llm.common import slices, store, texts, utf8
+from deskmeter.llm.common import slices, store, texts, utf8, with_rows
 from deskmeter.llm.components import contract, relabel
 from deskmeter.llm.words import grams, hashes, mix, spans
 
@@ -302,11 +302,12 @@ def near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", te
 
 
 def drop_near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; all columns kept.
+    """``docs`` with one row of each component, the one with the smallest id; all columns kept.
 
-    Documents with empty sets are linked with nothing and stay. Rows that repeat one another become one. Rows
-    without an id can't be told apart: they stay if one of them does.
+    Documents with empty sets are linked with nothing and stay. Rows are decided one by one: a row without an id
+    stays only where its component has no other, and of rows that share an id any one stays.
     """
-    found = near_copies(docs, rule, id_col, text_col)
-    kept = store(found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept_id")))
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates()
+    rows, key, row = with_rows(docs, id_col)
+    found = near_copies(rows, rule, key, text_col)
+    kept = store(found.where(F.col(key)["row"] == F.col("component_id")["row"]).select(F.col(key)["row"].alias("_kept")))
+    return rows.join(kept, rows[row] == F.col("_kept"), "left_semi").select(*docs.columns)

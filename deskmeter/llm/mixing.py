@@ -10,7 +10,7 @@ taken more than cap times. The order goes by size first, so that the sample has
 short documents in proportion and the words taken come near the target.
 
 Scale: the text is read once, for its number of words. Ranks come from cells (source, size class,
-bucket of the id): row numbers inside a cell plus the counts of the cells before it, so no window
+bucket of id and text): row numbers inside a cell plus the counts of the cells before it, so no window
 ever holds a whole source. The counts before a cell are summed over the buckets of a class and
 over the classes of a source, 256 and some hundred rows. The water level is found in a few
 rounds of sums over the table of sources; only those sums reach the driver. DataFrame functions
@@ -86,14 +86,15 @@ def plan(docs: DataFrame, weigh=cyclic_weights, cap: int = CAP, share: float = 1
          row: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken, and the columns of ``row``.
 
-    Equal ids are ordered by text and by ``row``, if that is given.
+    Equal ids are ordered by the digest of the text, so that any reading of the same rows takes the same ones.
     """
     size = F.regexp_count("text", F.lit(WORD)).cast("bigint")
-    ties = [F.xxhash64("text").alias("_digest")] if row else []
-    rows = store(texts(docs, "doc_id", "source", *row).select("doc_id", "source", *row, *ties, size.alias("size")))
+    digest = F.md5(F.col("text").cast("binary"))
+    rows = store(texts(docs, "doc_id", "source", *row).select("doc_id", "source", *row, digest.alias("_digest"), size.alias("size")))
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("/"), F.col("_digest"))
     rows = rows.withColumns({
         "class": size_class(F.col("size")),
-        "bucket": F.coalesce(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 2), F.lit("")),
+        "bucket": F.substring(F.md5(named.cast("binary")), 1, 2),
     })
     cells = store(rows.groupBy("source", "class", "bucket").agg(
         F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")))
@@ -109,7 +110,7 @@ def plan(docs: DataFrame, weigh=cyclic_weights, cap: int = CAP, share: float = 1
     within = cells.select("source", "class", "bucket", before("source", "class", "bucket").alias("buckets_before"))
     bases = _join(_join(within, whole, "source", "class"), aims, "source")
     ranked = rows.withColumn(
-        "_i", F.row_number().over(Window.partitionBy("source", "class", "bucket").orderBy("doc_id", *(["_digest"] if row else []), *row)))
+        "_i", F.row_number().over(Window.partitionBy("source", "class", "bucket").orderBy("doc_id", "_digest", *row)))
     joined = _join(ranked, bases, "source", "class", "bucket")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     i, u = F.col("classes_before") + F.col("buckets_before") + F.col("_i"), offset(F.col("source"), seed)

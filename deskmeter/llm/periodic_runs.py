@@ -280,7 +280,7 @@ def agreeing(docs: DataFrame, id_col: str, text_col: str, tile_words: int, batch
                     ["rid", "period", "first", "last"])
 
     tiles = listed.where("long").select("rid", "text").mapInArrow(
-        explode, "rid bigint, low int, high int, first bigint, words binary")
+        explode, "rid bigint, low bigint, high bigint, first bigint, words binary")
     dealt = tiles.repartition("rid", "low", "first").mapInArrow(solve, "rid bigint, period bigint, first bigint, last bigint")
     near = listed.select("rid", F.explode("fragments").alias("f")).select("rid", "f.period", "f.first", "f.last")
     return listed, near.unionByName(dealt)

@@ -57,7 +57,7 @@ def op9_mixing(spark, folder):
 
 ORACLE["op9_mixing"] = """
 WITH RECURSIVE rows AS MATERIALIZED (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
   FROM documents),
 sizes AS MATERIALIZED (
@@ -83,7 +83,7 @@ ranked AS (
          CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
          row_number() OVER (PARTITION BY r.source ORDER BY
            length(bin(size)) * 4 + ((size >> greatest(length(bin(size)) - 3, 0)) & 3),
-           coalesce(substr(md5(doc_id::VARCHAR), 1, 2), ''), doc_id) AS i
+           substr(md5(coalesce(doc_id::VARCHAR, '') || '/' || digest), 1, 2), doc_id NULLS FIRST, digest) AS i
   FROM rows r JOIN aims a ON r.source IS NOT DISTINCT FROM a.source)
 SELECT doc_id, size, source_size, target,
        least(floor(i * rate + u) - floor((i - 1) * rate + u), 3)::BIGINT * size AS taken
@@ -141,16 +141,16 @@ def op5_topk_search(spark, folder):
 
 ORACLE["op5_topk_search"] = """
 WITH v AS MATERIALIZED (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scores AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
          list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+  FROM v q JOIN v c ON c.r <> q.r WHERE q.vec_id % 100 = 0),
 ranked AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scores)
+  SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 

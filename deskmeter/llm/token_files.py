@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deskmeter.llm.common import lengths, slices, texts, utf8
+from deskmeter.llm.common import lean, slices, texts, utf8
 
 MAGIC = b"TOKENSEF"
 FOOTER = struct.Struct("<12q")
@@ -271,7 +271,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: bytes, end_id: int, i
     """Write the files of ``docs`` and their manifest (a Parquet table) to ``folder``."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.set_memory_pool(pa.system_memory_pool())  # gives back what a batch has used
+        lean()
         encoder, task, attempt = Encoder(vocabulary), TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
         writer, part = None, 0
 
@@ -352,7 +352,7 @@ def read_tokens(spark: SparkSession, folder: str, docs_per_read: int = DOCS_PER_
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.set_memory_pool(pa.system_memory_pool())
+        lean()
         for batch in batches:
             for row in batch.to_pylist():
                 file = TokenFile(folder, row["file"])

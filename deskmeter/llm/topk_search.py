@@ -11,9 +11,9 @@ other (a proven bound: chunk_rows * dimensions * 8 bytes); each chunk is one pas
 stored blocks without an exchange of vectors. Tasks hold ``group`` blocks at a time and hand on k rows per query.
 Products are exact: float64 where they can't pass 2**53, and whole numbers of any size else.
 
-Vectors that are null or hold null or non-finite components take no part, nor do null ids; rows that
-repeat an id count once (the smallest vector). Missing components of shorter vectors count as 0. A query is not its
-own candidate. Equal scores go to the smaller id. An empty table, or one without queries, gives an empty result. Scores outside of
+Vectors that are null or hold null or non-finite components take no part, nor do null ids. Rows that
+repeat an id are candidates (and queries) one by one, told apart by a number stored with them; a query's own row alone is not its
+candidate. Missing components of shorter vectors count as 0. Equal scores go to the smaller id. An empty table, or one without queries, gives an empty result. Scores outside of
 the long range are held at its ends.
 """
 
@@ -29,18 +29,18 @@ from pyspark.sql import functions as F
 from deskmeter.llm.common import store
 
 BLOCK_ROWS, GROUP, CHUNK_ROWS = 256, 64, 8192
-_BLOCK = "ids array<bigint>, weights array<bigint>, least array<bigint>, largest array<bigint>"
+_BLOCK = "ids array<bigint>, rids array<bigint>, weights array<bigint>, least array<bigint>, largest array<bigint>"
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, factor: int = 1024) -> DataFrame:
-    """(id, v): one whole-number vector per id that can take part."""
+    """(rid, id, v): the whole-number vector of every row that can take part."""
     x = F.col("v")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     return (
         rows.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
         .where(F.col("id").isNotNull() & x.isNotNull() & F.coalesce(finite, F.lit(False)))
-        .select("id", F.transform("v", lambda c: F.floor(c * factor).cast("bigint")).alias("v"))
-        .groupBy("id").agg(F.min("v").alias("v"))
+        .select(F.monotonically_increasing_id().alias("rid"), "id",
+                F.transform("v", lambda c: F.floor(c * factor).cast("bigint")).alias("v"))
     )
 
 
@@ -62,8 +62,9 @@ def _cut(block_rows: int):
                 weights = _matrix(part.column("v"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x], pa.list_(pa.int64())) for x in (
-                        part.column("id").to_numpy(zero_copy_only=False), weights.ravel(), weights.min(axis=0), weights.max(axis=0))],
-                    ["ids", "weights", "least", "largest"])
+                        part.column("id").to_numpy(zero_copy_only=False), part.column("rid").to_numpy(zero_copy_only=False),
+                        weights.ravel(), weights.min(axis=0), weights.max(axis=0))],
+                    ["ids", "rids", "weights", "least", "largest"])
 
     return run
 
@@ -83,7 +84,7 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class _Best:
-    """The k best (score, id) of each query so far."""
+    """The k best (score, id) of each query so far; ``queries`` are the numbers of their rows."""
 
     def __init__(self, queries: np.ndarray, k: int):
         self.queries, self.k = queries, k
@@ -94,8 +95,8 @@ class _Best:
     def floor(self) -> np.ndarray:
         return np.where(self.found[:, -1], self.score[:, -1], -(2**63))
 
-    def offer(self, at: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        own = self.queries[at][:, None] == ids[None, :]
+    def offer(self, at: np.ndarray, score: np.ndarray, ids: np.ndarray, rids: np.ndarray) -> None:
+        own = self.queries[at][:, None] == rids[None, :]
         scores = np.concatenate([self.score[at], score], axis=1)
         names = np.concatenate([self.id[at], np.broadcast_to(ids, own.shape)], axis=1)
         found = np.concatenate([self.found[at], ~own], axis=1)
@@ -106,12 +107,12 @@ class _Best:
 
 
 def search_blocks(best: _Best, queries: np.ndarray, blocks: list[tuple[np.ndarray, ...]]) -> int:
-    """Visit blocks (ids, weights, least, largest) in the order of their bounds; returns the pairs scored."""
-    width = max([queries.shape[1], *(b[1].shape[1] for b in blocks)])
+    """Visit blocks (ids, rids, weights, least, largest) in the order of their bounds; returns the pairs scored."""
+    width = max([queries.shape[1], *(b[2].shape[1] for b in blocks)])
     q = _wide(queries, width)
     # a missing component is 0, so bounds of narrower blocks stay true
-    least = np.concatenate([_wide(b[2][None, :], width) for b in blocks])
-    largest = np.concatenate([_wide(b[3][None, :], width) for b in blocks])
+    least = np.concatenate([_wide(b[3][None, :], width) for b in blocks])
+    largest = np.concatenate([_wide(b[4][None, :], width) for b in blocks])
     bound = _product(np.maximum(q, 0), largest) + _product(np.minimum(q, 0), least)
     order = np.argsort(-bound.astype(float), axis=1, kind="stable")
     active, scored = np.arange(len(q)), 0
@@ -123,20 +124,21 @@ def search_blocks(best: _Best, queries: np.ndarray, blocks: list[tuple[np.ndarra
             break
         for b in np.unique(block):
             at = active[block == b]
-            best.offer(at, _product(q[at], _wide(blocks[b][1], width)), blocks[b][0])
+            ids, rids, weights = blocks[b][:3]
+            best.offer(at, _product(q[at], _wide(weights, width)), ids, rids)
             scored += len(at)
     return scored
 
 
 def _search(chunk, k: int, group: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, queries = chunk.value
-        best, waiting = _Best(ids, k), []
+        ids, rids, queries = chunk.value
+        best, waiting = _Best(rids, k), []
         for batch in batches:
-            names = [batch.column(i) for i in range(4)]
+            names = [batch.column(i) for i in range(5)]
             for r in range(batch.num_rows):
-                own, flat, least, largest = (c[r].values.to_numpy(zero_copy_only=False) for c in names)
-                waiting.append((own, flat.reshape(len(own), len(least)), least, largest))
+                own, own_rids, flat, least, largest = (c[r].values.to_numpy(zero_copy_only=False) for c in names)
+                waiting.append((own, own_rids, flat.reshape(len(own), len(least)), least, largest))
                 if len(waiting) == group:
                     search_blocks(best, queries, waiting)
                     waiting = []
@@ -144,7 +146,8 @@ def _search(chunk, k: int, group: int):
             search_blocks(best, queries, waiting)
         q, place = np.nonzero(best.found)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[q]), pa.array(best.id[q, place]), pa.array(best.score[q, place])], ["query_id", "vec_id", "score"])
+            [pa.array(rids[q]), pa.array(ids[q]), pa.array(best.id[q, place]), pa.array(best.score[q, place])],
+            ["query_rid", "query_id", "vec_id", "score"])
 
     return run
 
@@ -157,14 +160,15 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
     ranges = max(1, vectors.count() // (block_rows * group))
     blocks = store(vectors.repartitionByRange(ranges, "id").sortWithinPartitions("id").mapInArrow(_cut(block_rows), _BLOCK))
     asked = store(vectors.where(is_query))
-    chunks = asked.repartition(max(1, -(-asked.count() // chunk_rows))).mapInArrow(_cut(chunk_rows), _BLOCK).select("ids", "weights")
+    chunks = asked.repartition(max(1, -(-asked.count() // chunk_rows))).mapInArrow(_cut(chunk_rows), _BLOCK).select("ids", "rids", "weights")
     found = None
     for row in store(chunks).toLocalIterator():
         ids = np.array(row["ids"], np.int64)
-        chunk = spark.sparkContext.broadcast((ids, np.array(row["weights"], np.int64).reshape(len(ids), -1)))
-        part = blocks.mapInArrow(_search(chunk, k, group), "query_id bigint, vec_id bigint, score bigint")
-        first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-        part = store(part.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k))
+        weights = np.array(row["weights"], np.int64).reshape(len(ids), -1)
+        chunk = spark.sparkContext.broadcast((ids, np.array(row["rids"], np.int64), weights))
+        part = blocks.mapInArrow(_search(chunk, k, group), "query_rid bigint, query_id bigint, vec_id bigint, score bigint")
+        first = Window.partitionBy("query_rid").orderBy(F.col("score").desc(), "vec_id")
+        part = store(part.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).drop("query_rid"))
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = spark.createDataFrame([], "query_id bigint, vec_id bigint, score bigint, rank int")

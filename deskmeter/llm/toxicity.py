@@ -33,7 +33,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskmeter.llm.common import slices, store, utf8
+from deskmeter.llm.common import lean, slices, store, utf8
 
 MAX_LABELLED, MAX_TERMS, STEMS = 20_000, 2000, range(4, 9)
 BATCH_BYTES = 4 << 20
@@ -61,6 +61,7 @@ def _terms(text: str) -> set[str]:
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lean()
     for batch in slices(batches, BATCH_BYTES):
         toxic, clean = Counter(), Counter()
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
@@ -154,39 +155,53 @@ _SPACE[[*b"\t\n\v\f\r "]] = True
 
 
 def _signs(raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Signs in runs of non-blanks that hold a letter: those written for letters anywhere, others between letters or such."""
-    run, letter, joint = np.cumsum(begins), _LETTER[raw], _JOINT[raw]
-    lettered = np.bincount(run[letter], minlength=len(raw) + 1) > 0
-    signs = _FOR_LETTER[raw] & lettered[run]
-    part = np.flatnonzero(~joint)
-    at = np.flatnonzero(joint)
-    place = np.searchsorted(part, at)
-    inside = (place > 0) & (place < len(part))
-    at, place = at[inside], place[inside]
-    left, right = part[place - 1], part[place]
-    solid = letter | _FOR_LETTER[raw]
-    same = (run[left] == run[at]) & (run[right] == run[at]) & solid[left] & solid[right] & lettered[run[at]]
-    signs[at[same]] = True
-    return signs
+    """Places of signs in runs of non-blanks that hold a letter: those written for letters anywhere, others between letters or such.
+
+    ``begins`` are the places where runs begin. Only the places of signs are listed, not all bytes.
+    """
+    if not len(begins):
+        return begins
+    lettered = np.add.reduceat(_LETTER[raw], begins, dtype=np.int32) > 0
+
+    def run(at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(begins, at, side="right") - 1
+
+    written = np.flatnonzero(_FOR_LETTER[raw])
+    written = written[lettered[run(written)]]
+    joints = np.flatnonzero(_JOINT[raw])
+    group = np.cumsum(np.diff(joints, prepend=-2) > 1) - 1  # joints in a row have the same neighbours
+    firsts = np.flatnonzero(np.diff(joints, prepend=-2) > 1)
+    left = joints[firsts] - 1
+    right = joints[np.append(firsts[1:], len(joints)) - 1] + 1 if len(joints) else joints
+    inside = (left >= 0) & (right < len(raw))
+    left, right = np.maximum(left, 0), np.minimum(right, len(raw) - 1)
+    solid = _LETTER | _FOR_LETTER
+    here = run(joints)
+    same = inside[group] & solid[raw[left]][group] & solid[raw[right]][group] & lettered[here]
+    same &= (run(left)[group] == here) & (run(right)[group] == here)
+    return np.union1d(written, joints[same])
 
 
 def feature_rows(column: pa.Array, lexicon: tuple[tuple[str, float], ...]) -> np.ndarray:
     """One row of ``FEATURES`` per text of an Arrow column without nulls."""
     raw, ends = utf8(column)
 
-    def per_text(mask: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
-        return np.diff(total[ends]).astype(float)
+    def per_text(places: np.ndarray) -> np.ndarray:
+        return np.diff(np.searchsorted(places, ends)).astype(float)
 
     size = np.maximum(np.diff(ends), 1)
     space = _SPACE[raw]
-    begins = ~space
-    begins[1:] &= space[:-1]
-    begins[ends[:-1][ends[:-1] < len(raw)]] = ~space[ends[:-1][ends[:-1] < len(raw)]]
+    starts = ~space
+    starts[1:] &= space[:-1]
+    inner = ends[:-1][ends[:-1] < len(raw)]
+    starts[inner] = ~space[inner]
+    begins = np.flatnonzero(starts)
+    del space, starts
     words = per_text(begins)
     signs = per_text(_signs(raw, begins))
     out = np.zeros((len(column), len(FEATURES)))
-    out[:, 7], out[:, 8], out[:, 9] = per_text(_UPPER[raw]) / size, per_text(_BANG[raw]) / size, per_text(_ASK[raw]) / size
+    for i, mask in ((7, _UPPER), (8, _BANG), (9, _ASK)):
+        out[:, i] = per_text(np.flatnonzero(mask[raw])) / size
     out[:, 10], out[:, 11] = signs / np.maximum(words, 1), np.log1p(words)
     if lexicon:
         automaton = _automaton(lexicon)
@@ -215,6 +230,7 @@ def with_features(docs: DataFrame, lexicon: dict[str, float], name: str, text_co
     work = _fresh(docs, "_text_of_features")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in slices(batches, BATCH_BYTES, work):
             rows = feature_rows(batch.column(work), frozen)
             flat = pa.ListArray.from_arrays(

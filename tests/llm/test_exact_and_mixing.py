@@ -47,6 +47,37 @@ def test_names_are_of_contents(documents):
     assert names.select("name").distinct().count() == names.count()
 
 
+def test_names_are_the_same_for_any_number_of_partitions(spark, documents):
+    frame, seen = documents(*[(i, f"{i % 37} " * (i % 5)) for i in range(200)]), []
+    for n in ("3", "8"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            names, _ = name_blocks(texts(frame), 3)
+            seen.append({(r["a"], r["b"]): r["name"] for r in names.collect()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert seen[0] == seen[1] and sorted(seen[0].values()) == list(range(len(seen[0])))
+
+
+def test_copies_go_whatever_their_other_columns(documents):
+    frame = documents((1, "t", "en"), (1, "t", "de"), (None, "t"), (None, "u"), (None, "u", "fr"), (4, None), (3, ""), extra=("_row", "_key"))
+    kept = drop_copies(frame)
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect()) == [("1", "t"), ("4", ""), ("None", "u")]
+    assert kept.columns == frame.columns
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_mixing_reruns_agree_for_repeated_ids(spark, documents, folder, order):
+    import random
+
+    rows = [(7, "w " * (20 + i % 4) + str(i % 9), None, "s" if i % 3 else "t") for i in range(200)]
+    random.Random(order).shuffle(rows)
+    path = folder(documents=documents(*rows).repartition(order))
+    same_as_sql(QUERIES["op9_mixing"], ORACLE["op9_mixing"], spark, path)
+
+
 def test_repeated_rows_and_null_ids(documents):
     frame = documents((1, "t"), (1, "t"), (None, "t"), (None, "u"), extra=("kept",))
     kept = [r["kept"] for r in exact_groups(frame).collect()]

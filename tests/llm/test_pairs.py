@@ -143,19 +143,27 @@ def test_top_k_as_sql(spark, small):
     same_as_sql(QUERIES["op5_topk_search"], ORACLE["op5_topk_search"], spark, small, ("embeddings",))
 
 
+def test_top_k_of_repeated_ids_as_sql(spark, folder):
+    rng = random.Random(9)
+    rows = [(i % 150, [rng.uniform(-1, 1) for _ in range(3)]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    same_as_sql(QUERIES["op5_topk_search"], ORACLE["op5_topk_search"], spark, folder(embeddings=frame), ("embeddings",))
+
+
 def test_top_k_odd_vectors(spark):
     from pyspark.sql import functions as F
 
     rng = random.Random(2)
     vectors = [[float(rng.randrange(-3, 4)) for _ in range(4)] for _ in range(300)]
-    rows = list(enumerate(vectors)) + [(7, vectors[7]), (400, None), (401, [1.0, None, 2.0, 3.0]), (402, [float("nan")] * 4),
+    rows = list(enumerate(vectors)) + [(7, vectors[7]), (8, [9.0, 9.0, 9.0, 9.0]), (8, [-9.0] * 4), (100, [1.0, 2.0, 3.0, 0.0]), (400, None), (401, [1.0, None, 2.0, 3.0]), (402, [float("nan")] * 4),
                                        (403, [float("inf"), 0.0, 0.0, 0.0]), (None, [1.0] * 4), (404, [2.0, 2.0]), (500, [])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit(1)).withColumn("rank", F.lit(1))
-    usable = {i: [int(x * 1024) for x in v] for i, v in rows if i is not None and i not in (400, 401, 402, 403)}
+    usable = [(i, [int(x * 1024) for x in v]) for i, v in rows if i is not None and i not in (400, 401, 402, 403)]
     want = []
-    for q in (i for i in usable if i % 100 == 0):
-        scores = sorted((-sum(a * b for a, b in zip(usable[q], v)), i) for i, v in usable.items() if i != q)[:10]  # noqa: B905
-        want += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+    for row, (q, own) in enumerate(usable):
+        if q % 100 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for r, (i, v) in enumerate(usable) if r != row)[:10]  # noqa: B905
+            want += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
     found = top_k(frame, F.col("id") % 100 == 0, block_rows=8, group=5, chunk_rows=3).collect()
     assert sorted(map(tuple, found)) == sorted(want)
     empty = top_k(frame.limit(0), F.col("id") % 100 == 0)
