@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmeter import domain
-from deskmeter.ml import features, knn, learners, metrics
+from deskmeter.ml import features, knn, metrics, network, svm
 from deskmeter.ml.split import hash_split, stratified_split
 from deskmeter.session import reliable_checkpoint
 
@@ -68,8 +68,8 @@ def candidate_scores(data: Prepared, k: int = domain.NEIGHBOURS) -> dict[str, Da
     return {
         "knn_hardcode": knn.knn_scores(data.test, knn.knn_blocked(data.test, data.train, k)),
         "knn_sklearn": knn.knn_scores(data.test, knn.knn_pruned(data.test, data.train, k)),
-        "svm": learners.svm_scores(data.train, data.test),
-        "mlp": learners.mlp_scores(data.train, data.test),
+        "svm": svm.svm_scores(data.train, data.test),
+        "mlp": network.mlp_scores(data.train, data.test),
     }
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deskmeter import domain
 from deskmeter.functions import text as tx
 from deskmeter.functions.numeric import ratio, round_binary
+from deskmeter.session import at_least
 
 
 def length_features(body: Column) -> dict[str, Column]:
@@ -46,9 +47,15 @@ def text_features(
     refund: list[str] = domain.REFUND_TERMS,
     cancel: list[str] = domain.CANCEL_TERMS,
     error: list[str] = domain.ERROR_TERMS,
+    parts: int | None = None,
 ) -> DataFrame:
-    """One row per message. A missing body counts as empty text."""
+    """One row per message. A missing body counts as empty text.
+
+    The work is all in the scan's tasks, and a file of one row group is one task: ``parts`` asks for that many
+    tasks at least, at the price of an exchange where the scan has fewer.
+    """
     terms = [*urgency, *refund, *cancel, *error]
+    messages = at_least(messages.select(key, body), parts)
     base = messages.select(
         F.col(key), F.coalesce(F.col(body), F.lit("")).alias("_body")
     )

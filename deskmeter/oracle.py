@@ -465,6 +465,11 @@ ORACLE["dq_report"] = _REPORT + "select * from report"
 ORACLE["dq_totals"] = _REPORT + """select count(*) filter (status = 'PASS')::bigint as passed,
     count(*) filter (status = 'ERROR')::bigint as errors from report"""
 
+_SIDES = _W_ML + f"""select (select count(*) from ml where not ({_IS_TEST}))::bigint as n_train, (select count(*) from ml where {_IS_TEST})::bigint as n_test,
+  (select count(*) from ml where {_IS_TEST} and sla_breach = 1)::bigint as n_positive, 1::bigint as above_floor, 1::bigint as improved"""
+ORACLE["svm_exact"] = _SIDES + ", 0::bigint as violators, 0::bigint as out_of_bounds, 1::bigint as balanced"
+ORACLE["network_trained"] = _SIDES + ", 1::bigint as ended"
+
 from deskmeter import oracle_io  # noqa: E402
 
 ORACLE.update(oracle_io.ORACLE)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from deskmeter import domain
 from deskmeter.functions import ticket
 from deskmeter.functions.numeric import round_scaled
-from deskmeter.ml import features, knn, learners, metrics, training
+from deskmeter.ml import features, knn, learners, metrics, network, svm, training
 from deskmeter.ml.split import hash_split, is_test, stratified_split
 from deskmeter.operators import cards, quality
 from deskmeter.operators.clean import add_breach, add_date_parts, add_sla, trim_categoricals
@@ -29,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ENGLISH_TERMS = ["the", "and", "ing", "data", "on the"]
+#: Stated before any result was seen: area under the ROC curve that a learner of priorities must pass.
+AUC_FLOOR = 0.75
 CUTS = ["cut_050", "cut_070", "backlog", "priority"]
 
 
@@ -179,6 +181,7 @@ def text_custom_terms(spark, folder):
     return text_features(
         src.messages(spark, folder),
         urgency=ENGLISH_TERMS, refund=["pay"], cancel=["stop"], error=["fail", "miss"],
+        parts=spark.sparkContext.defaultParallelism,
     ).select("ticket_id", "urgency_hits", "kw_refund", "kw_cancel", "kw_error")
 
 
@@ -475,7 +478,36 @@ def _learned(name: str, scored: Callable) -> Query:
 
 
 register("svm_rff_metrics", _learned("svm", learners.svm_scores))
-register("mlp_metrics", _learned("mlp", lambda train, test: learners.mlp_scores(train, test, iterations=100)))
+register("mlp_metrics", _learned("mlp", learners.mlp_scores))
+
+
+def _holdout(data, scored):
+    """One row: sizes of both sides and whether the scores order the holdout better than the rule of thumb's level."""
+    measured = metrics.evaluate(scored.withColumn("model", F.lit("m"))).select((F.col("roc_auc") >= AUC_FLOOR).alias("above_floor"))
+    return measured.select(
+        data.train.agg(F.count(F.lit(1)).alias("n")).scalar().alias("n_train"),
+        data.test.agg(F.count(F.lit(1)).alias("n")).scalar().alias("n_test"),
+        data.test.agg(F.count_if(F.col("label") == 1).alias("n")).scalar().alias("n_positive"), "above_floor")
+
+
+@query
+def svm_exact(spark, folder):
+    """The RBF machine's optimality over all training rows, and its holdout."""
+    data = training.prepare(_ml(spark, folder), exact=False)
+    found = svm.fit(data.train, data.test)
+    conditions = svm.optimality(found).select(
+        "violators", "out_of_bounds", (F.abs("balance") < 1e-6).alias("balanced"), (F.col("objective") > 0).alias("improved"))
+    return conditions.crossJoin(_holdout(data, svm.scores(found)))
+
+
+@query
+def network_trained(spark, folder):
+    """The ReLU network's training, which ends by its own rule or after 500 epochs, and its holdout."""
+    data = training.prepare(_ml(spark, folder), exact=False)
+    found = network.fit(data.train)
+    ended = network.settled(found.losses, network.Settings()) or found.epochs == 500
+    return _holdout(data, network.scores(found, data.test)).select(
+        "*", F.lit(ended).alias("ended"), F.lit(found.losses[-1] < found.losses[0]).alias("improved"))
 
 
 # -- streams ----------------------------------------------------------------------------------------

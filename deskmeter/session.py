@@ -44,6 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def at_least(df: DataFrame, parts: int | None) -> DataFrame:
+    """``df`` in ``parts`` tasks at least; unchanged where it has as many, or none are asked for."""
+    if parts is None or df.rdd.getNumPartitions() >= parts:
+        return df
+    return df.repartition(parts)
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from the stored rows.
 

@@ -138,7 +138,7 @@ def tickets_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text(spark: SparkSession, folder: str) -> DataFrame:
-    return text_features(messages(spark, folder))
+    return text_features(messages(spark, folder), parts=spark.sparkContext.defaultParallelism)
 
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:
