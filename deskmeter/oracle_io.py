@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from deskmeter.oracle import _W_CLEAN, CLEAN, PRED, TICKETS
+from deskmeter.oracle import _KPIS, _W_CLEAN, _W_FCT, CLEAN, PRED, TICKETS
 
 ORACLE: dict[str, str] = {}
 
@@ -57,3 +57,18 @@ ORACLE["stored_predictions"] = f"with {CLEAN},{PRED}" + """ select ticket_id::va
   sla_breach_previsto as y_pred, modelo from pred"""
 
 ORACLE["staging_view"] = _W_CLEAN + "select category, count(*)::bigint as n_rows from clean where priority = 'Alta' group by category"
+
+
+#: The filters of ``cards_from_cells`` as conditions.
+_CONDITIONS = [
+    "true", *(f"priority = '{p}'" for p in ("Crítica", "Alta", "Média", "Baixa")), *(f"channel = '{c}'" for c in ("Email", "Chat", "Redes Sociais")),
+    *(f"created_month = {m}" for m in (1, 6, 12)), "created_month in (1, 2, 3)", "category = 'Cancelamento'", "category in ('Faturamento', 'Bug / Defeito')",
+    "priority in ('Alta', 'Crítica') and channel = 'Email'", "priority = 'Baixa' and created_month = 7", "category = 'Cancelamento' and channel = 'Chat'",
+    "priority = 'Média' and category = 'Faturamento' and created_month in (4, 5)", "true", "priority = 'Urgente'",
+    "priority = 'Alta' and category = 'Cancelamento' and channel = 'Email' and created_month = 3", "priority = 'absent'",
+]
+_FIGURES = _KPIS.replace("total_chamados", "chamados")
+ORACLE["cards_from_cells"] = _W_FCT + " union all ".join(
+    f"""select {i}::bigint as filter, 'total' as dimensao, null::varchar as valor, {_FIGURES} from fct where {condition}
+    union all select {i}::bigint, 'priority', priority, {_FIGURES} from fct where {condition} group by priority"""
+    for i, condition in enumerate(_CONDITIONS))

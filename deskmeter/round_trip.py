@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmeter import schemas
+from deskmeter.operators import cells
+from deskmeter.plans import models
 from deskmeter.queries import query
-from deskmeter.session import shared_dir
+from deskmeter.session import reliable_checkpoint, shared_dir
 from deskmeter.sinks import publish as sink
 from deskmeter.sinks.publish import Target
 from deskmeter.sources import derived as src
@@ -24,6 +26,14 @@ from deskmeter.sources.json_array import read_json_array
 LAYOUTS = {"minified": {}, "indented": {"pretty": "true"}, "escaped": {"writeNonAsciiCharacterAsCodePoint": "true"}}
 #: Delimiter and word for a missing value of each table's text.
 DIALECTS = {"customer": (",", ""), "part": (";", "NULL"), "orders": ("\t", "NA"), "lineitem": ("|", ""), "events": (",", "N/A")}
+#: Filters that a manager might set.
+FILTERS = [
+    {}, *({"priority": p} for p in ("Crítica", "Alta", "Média", "Baixa")), *({"channel": c} for c in ("Email", "Chat", "Redes Sociais")),
+    *({"month": m} for m in (1, 6, 12, [1, 2, 3])), {"category": "Cancelamento"}, {"category": ["Faturamento", "Bug / Defeito"]},
+    {"priority": ["Alta", "Crítica"], "channel": "Email"}, {"priority": "Baixa", "month": 7}, {"category": "Cancelamento", "channel": "Chat"},
+    {"priority": "Média", "category": "Faturamento", "month": [4, 5]}, {"priority": [], "channel": None}, {"priority": "Urgente"},
+    {"priority": "Alta", "category": "Cancelamento", "channel": "Email", "month": 3}, {"priority": "absent"},
+]
 FORMATS = ("parquet", "orc", "json", "csv", "table")
 
 
@@ -139,3 +149,22 @@ def staging_view(spark, folder):
     name = f"stg_tickets_{uuid.uuid4().hex[:12]}"
     sink.materialise_view(src.tickets_clean(spark, folder).where(F.col("priority") == "Alta"), name)
     return spark.table(name).groupBy("category").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def cards_from_cells(spark, folder):
+    """The figures under every filter, from cells kept over three batches, one of them replayed; the fact is read for the batches alone."""
+    place = scratch(spark)
+    fact = reliable_checkpoint(models.fct_tickets(
+        src.tickets_clean(spark, folder), src.text(spark, folder), src.logs(spark, folder)))
+    for batch in (0, 1, 1, 2):
+        cells.add_batch(fact.where(F.col("ticket_id") % 3 == batch), place, batch)
+        if batch == 1:
+            cells.compact(spark, place)
+    answers = []
+    for i, selected in enumerate(FILTERS):
+        for by in (None, "priority"):
+            found = cells.summary(spark, place, by, **selected)
+            found = found if by else found.withColumn("valor", F.lit(None).cast("string"))
+            answers.append(found.select(F.lit(i).alias("filter"), F.lit(by or "total").alias("dimensao"), "valor", *found.drop("valor").columns))
+    return reduce(DataFrame.unionByName, answers)
