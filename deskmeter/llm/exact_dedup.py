@@ -1,6 +1,6 @@
 """Exact duplicates by deterministic block naming (Karp, Miller and Rosenberg's scheme).
 
-A text is cut into blocks of ``block_bytes`` bytes. The distinct blocks are sorted over all tasks and numbered;
+A text is cut into blocks of ``block_bytes`` bytes. The distinct blocks are sorted (by digest, over all tasks) and numbered;
 a text is then a list of integers. Adjacent pairs of integers are sorted and numbered in turn,
 which halves the lists, until every text is one integer. Two texts have the same
 (level, integer) if and only if they are the same bytes: names are given to contents, never to
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskmeter.llm.common import ranked, store, texts, with_rows
+from deskmeter.llm.common import owning, ranked, release, store, texts, with_rows
 
 BLOCK_BYTES = 4096
 
@@ -46,7 +46,8 @@ def name_blocks(rows: DataFrame, block_bytes: int, seed: int = 1) -> tuple[DataF
     data = rows.select(F.explode(_blocks(F.col("text").cast("binary"), block_bytes)).alias("block"))
     while True:
         distinct = data.select(*_digest(F.col("block"), seed), "block").distinct()
-        names = ranked(distinct, "block", keep=("a", "b"))
+        # in the order of the digests, so that blocks move once; they are as good an order as the bytes
+        names = ranked(distinct.select("a", "b"), "a", "b", keep=("a", "b"))
         if names.groupBy("a", "b").count().where("count > 1").isEmpty():
             return names, seed
         seed += 1
@@ -116,5 +117,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows, key, row = with_rows(docs, id_col)
     last = rows.withColumn(key, F.struct((~F.col(key)["no_id"]).alias("known"), F.col(key)["id"].alias("id"), F.col(key)["row"].alias("row")))
-    kept = store(exact_groups(last, key, text_col).where("kept").select(F.col(key)["row"].alias("_kept")))
+    with owning() as used:
+        kept = store(exact_groups(last, key, text_col).where("kept").select(F.col(key)["row"].alias("_kept")))
+    release(docs.sparkSession, used[:-1])
     return rows.join(kept, rows[row] == F.col("_kept"), "left_semi").select(*docs.columns)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmeter.llm.bitfilter import BITS, build, passes
-from deskmeter.llm.common import slices, store, texts, utf8, with_rows
+from deskmeter.llm.common import owning, release, slices, store, texts, utf8, with_rows
 from deskmeter.llm.components import contract, relabel
 from deskmeter.llm.words import grams, hashes, mix, spans
 
@@ -308,6 +308,8 @@ def drop_near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id
     stays only where its component has no other, and of rows that share an id any one stays.
     """
     rows, key, row = with_rows(docs, id_col)
-    found = near_copies(rows, rule, key, text_col)
-    kept = store(found.where(F.col(key)["row"] == F.col("component_id")["row"]).select(F.col(key)["row"].alias("_kept")))
+    with owning() as used:
+        found = near_copies(rows, rule, key, text_col)
+        kept = store(found.where(F.col(key)["row"] == F.col("component_id")["row"]).select(F.col(key)["row"].alias("_kept")))
+    release(docs.sparkSession, used[:-1])  # what the search has stored
     return rows.join(kept, rows[row] == F.col("_kept"), "left_semi").select(*docs.columns)

@@ -20,8 +20,8 @@ taken out: everywhere in the documents that hold the entity, and nowhere else.
 Scale: texts without digit or @ never leave Arrow. The first pass stores a row per document, and the texts
 of those with an entity. Pairs are counted by partial aggregates; only entities in two independent
 documents can have terms and are paired. Candidates that their counts in these documents don't rule out
-are counted in all documents, behind a filter of fixed size; counts of texts that occur once are
-combined before their shuffle. Nothing is gathered by entity; the entities
+are counted in all documents, behind a filter of fixed size: a task adds up the texts it reads, but for those that may
+repeat, of which one each is counted in a second step. Nothing is gathered by entity; the entities
 of a document are held with it. 64-bit hashes stand for texts and shingles in counts.
 
 Null and empty texts have no spans. Repeated rows each get their spans; equal texts are counted once.
@@ -43,11 +43,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmeter.llm.bitfilter import build, passes
-from deskmeter.llm.common import slices, store, texts
+from deskmeter.llm.common import lean, slices, store, texts
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("generalise", "remove")
 GENERALISE, REMOVE = 0.75, 0.9
+HELD_TERMS = 500_000
 
 # fixed values: the patterns of the contract
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -175,24 +176,46 @@ def term_places(found: DataFrame, chosen: DataFrame) -> DataFrame:
     return rows.mapInArrow(_places, "rid bigint, chosen array<string>, term string, places array<struct<start:int,end:int>>")
 
 
-def _words(passing, repeated):
-    """(digest, term, n) of the terms that pass the filter: counts without a digest, single terms of texts that may repeat."""
+_COUNTS = pa.schema([("digest", pa.int64()), ("text", pa.string()), ("term", pa.string()), ("n", pa.int64())])
+
+
+def _words(passing, repeated=None):
+    """(digest, text, term, n): how many texts hold each term that passes the filter, counted by task.
+
+    Texts that may repeat are handed on as they are, for each to be counted once.
+    """
+
+    def counts(found: Counter) -> pa.RecordBatch:
+        n = len(found)
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
+            schema=_COUNTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         known: dict[str, bool] = {}
+        found: Counter = Counter()
         for batch in slices(batches, 4 << 20):
+            if repeated:
+                again = passes(repeated.value, batch.column("digest").to_numpy().view(np.uint64))
+                copies = batch.filter(pa.array(again))
+                if copies.num_rows:
+                    nothing = pa.nulls(copies.num_rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [copies.column("digest"), copies.column("text"), nothing.cast(pa.string()), nothing.cast(pa.int64())], schema=_COUNTS)
+                batch = batch.filter(pa.array(~again))
             lists = [{w.lower() for w in set(_TERM.findall(t))} for t in batch.column("text").to_pylist()]
-            if len(known) > 1_000_000:
+            if len(known) > HELD_TERMS:
                 known.clear()
             if new := list(set().union(*lists) - known.keys()):
                 crc = np.array([zlib.crc32(w.encode()) for w in new], np.uint64)
                 known.update(zip(new, passes(passing.value, crc).tolist(), strict=True))
-            digests = batch.column("digest").to_pylist()
-            again = passes(repeated.value, batch.column("digest").to_numpy().view(np.uint64)).tolist()
-            found = Counter((digests[i] if again[i] else None, w) for i, words in enumerate(lists) for w in words if known[w])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in found], pa.int64()), pa.array([w for _, w in found], pa.string()), pa.array(found.values(), pa.int64())],
-                ["digest", "term", "n"])
+            found.update(w for words in lists for w in words if known[w])
+            if len(found) > HELD_TERMS:  # the next ones are added up by Spark
+                yield counts(found)
+                found.clear()
+        if found:
+            yield counts(found)
 
     return run
 
@@ -240,10 +263,11 @@ def disclosure(found: DataFrame, rows: DataFrame, least: float = GENERALISE) ->
     keys = hopeful.select(F.crc32(F.col("term").cast("binary")).alias("key")).distinct()
     send = rows.sparkSession.sparkContext.broadcast
     passing, repeated = send(build(keys)), send(build(copies.where("count > 1").select(F.col("digest").alias("key"))))
-    words = rows.select("text", F.xxhash64("text").alias("digest")).mapInArrow(
-        _words(passing, repeated), "digest bigint, term string, n bigint")
-    once = F.when(F.col("digest").isNull(), F.sum("n")).otherwise(F.lit(1))
-    terms = words.groupBy("digest", "term").agg(once.alias("n")).groupBy("term").agg(F.sum("n").alias("df_term"))
+    shape = "digest bigint, text string, term string, n bigint"
+    words = store(rows.select("text", F.xxhash64("text").alias("digest")).mapInArrow(_words(passing, repeated), shape))
+    # of texts that may repeat, one each
+    once = words.where("text is not null").groupBy("digest").agg(F.first("text").alias("text")).select("text").mapInArrow(_words(passing), shape)
+    terms = words.where("term is not null").select("term", "n").unionByName(once.select("term", "n")).groupBy("term").agg(F.sum("n").alias("df_term"))
     return store(rated(hopeful.join(terms, "term")).select("entity", "term", "disclosure"))
 
 

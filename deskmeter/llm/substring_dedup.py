@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmeter.llm.bitfilter import BITS, build, passes
-from deskmeter.llm.common import slices, store, texts, utf8
+from deskmeter.llm.common import owning, release, slices, store, texts, utf8
 from deskmeter.llm.words import grams, hashes, mix, spans
 
 WINDOW, ANCHOR, STEP = 20, 6, 5
@@ -229,13 +229,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wit
     anchors = context.broadcast(build(counts.where("n > 1").select("key"), filter_bits))
 
     scanned = rows.mapInArrow(_scan(anchors), "id bigint, n_words bigint, digest string, text string")
-    scanned = store(scanned.withColumn("rid", F.monotonically_increasing_id()))
+    with owning() as first_tables:
+        scanned = store(scanned.withColumn("rid", F.monotonically_increasing_id()))
     # numbers in the order of ids stand for documents from here on
     plain = scanned.select("rid", "id", "n_words", "digest").repartitionByRange(F.col("id").asc_nulls_first(), "rid")
     plain = store(plain.sortWithinPartitions(F.col("id").asc_nulls_first(), "rid").withColumn("no", F.monotonically_increasing_id()))
     first = store(plain.groupBy("n_words", "digest").agg(F.min("no").alias("first")))
     earliest = plain.join(first.select(F.col("first").alias("no")), "no", "left_semi").select("rid", "no")
     chosen = store(scanned.where(F.col("text").isNotNull()).select("rid", "text").join(store(earliest), "rid").select("no", "text"))
+    release(docs.sparkSession, first_tables)  # its texts are in ``chosen`` now, its other columns in ``plain``
 
     least = group_rows // (4 * max(1, chosen.rdd.getNumPartitions()))
     known = store(chosen.select("text").mapInArrow(_count_prefixes(anchors, slot_bits, max(1, least)), "depth int, slot bigint, n bigint")
