@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmeter import domain
+from deskmeter.operators.ordering import numbered
+from deskmeter.session import reliable_checkpoint
 
 MAX_CATEGORIES = 1000
 
@@ -56,6 +58,32 @@ def one_hot(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
     return df.withColumns(one_hot_columns(categories))
 
 
+def dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(place, value, index): every value of every column with its number, by column and then by value.
+
+    However many there are: they are numbered by ranges and stay a table.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)]))
+    values = df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
+    return numbered(values, ["place", "value"], "index")
+
+
+def one_hot_sparse(df: DataFrame, key: str, columns: list[str], known: DataFrame | None = None) -> DataFrame:
+    """(key, indices): the places of the ones in each row's vector, rising; missing and unknown values have none.
+
+    ``key`` is unique. Rows meet the dictionary in one join per column, on the value; the rows of a hot value are split by adaptive execution,
+    and no row is put together again from parts. Nothing is collected.
+    """
+    known = dictionary(df, columns) if known is None else known
+    known = reliable_checkpoint(known)
+    found = df.select(key, *columns)
+    for i, c in enumerate(columns):
+        own = known.where(F.col("place") == i).select(F.col("value").alias(f"_v{i}"), F.col("index").alias(f"_i{i}"))
+        found = found.join(own, F.col(c).cast("string") == F.col(f"_v{i}"), "left")
+    ones = F.filter(F.array(*[F.col(f"_i{i}") for i in range(len(columns))]), lambda x: x.isNotNull())
+    return found.select(key, ones.alias("indices"))
+
+
 def moments(train: DataFrame, columns: list[str] = domain.NUMERIC) -> DataFrame:
     """One row with ``mean_<c>`` and ``std_<c>`` (sample); a constant column gets std 1."""
     aggregates = []

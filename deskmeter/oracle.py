@@ -470,6 +470,15 @@ _SIDES = _W_ML + f"""select (select count(*) from ml where not ({_IS_TEST}))::bi
 ORACLE["svm_exact"] = _SIDES + ", 0::bigint as violators, 0::bigint as out_of_bounds, 1::bigint as balanced"
 ORACLE["network_trained"] = _SIDES + ", 1::bigint as ended"
 
+_WIDE = [*domain.CATEGORICAL, "customer_id", "agent_id"]
+_PAIRS = " union all ".join(f"select ticket_id, {i} as place, {c}::varchar as value from clean where {c} is not null" for i, c in enumerate(_WIDE))
+ORACLE["onehot_sparse"] = _W_CLEAN + f""", pairs as ({_PAIRS}),
+  known as (select place, value, row_number() over (order by place, value) - 1 as index from (select distinct place, value from pairs)),
+  ones as (select ticket_id, string_agg(index::varchar, ',' order by index) as indices from pairs p join known k on p.place = k.place and p.value = k.value group by 1)
+  select c.ticket_id, coalesce(indices, '') as indices from clean c left join ones o on c.ticket_id = o.ticket_id"""
+ORACLE["stream_daily_final"] = """select strftime(ts, '%Y-%m-%d') as day, event_type, count(*)::bigint as n_rows, count(*) filter (value > 10)::bigint as n_flagged,
+  1::bigint as told_once, (ts::date < (select max(ts)::date - 2 from events))::bigint as closed from events group by strftime(ts, '%Y-%m-%d'), event_type, ts::date"""
+
 from deskmeter import oracle_io  # noqa: E402
 
 ORACLE.update(oracle_io.ORACLE)

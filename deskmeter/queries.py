@@ -23,7 +23,7 @@ from deskmeter.plans.dashboard import dashboard_document
 from deskmeter.session import reliable_checkpoint, shared_dir
 from deskmeter.sources import derived as src
 from deskmeter.sources.inventory import row_counts
-from deskmeter.streaming import incremental
+from deskmeter.streaming import daily, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -308,6 +308,16 @@ def onehot_categories(spark, folder):
     return features.one_hot(df, features.fit_categories(df)).drop(*domain.CATEGORICAL)
 
 
+WIDE = [*domain.CATEGORICAL, "customer_id", "agent_id"]
+
+
+@query
+def onehot_sparse(spark, folder):
+    """One-hot vectors as places of ones, of columns with any number of values."""
+    df = reliable_checkpoint(src.tickets_clean(spark, folder).select("ticket_id", *WIDE))
+    return features.one_hot_sparse(df, "ticket_id", WIDE).select("ticket_id", F.array_join("indices", ",").alias("indices"))
+
+
 @query
 def feature_moments(spark, folder):
     df = _ml(spark, folder)
@@ -523,6 +533,21 @@ def stream_log_features(spark, folder):
     return incremental.read_log_features(spark, state)
 
 
+@query
+def stream_daily_final(spark, folder):
+    """Events in seven files in no order of time: days announced once, and corrected by what came later."""
+    state, place = _state(spark), f"{shared_dir(spark)}/deskmeter-files/{uuid.uuid4().hex}"
+    rows = src.table(spark, folder, "events").select("ts", "event_type", (F.col("value") > 10).alias("flagged"), "event_id")
+    rows.repartition(7, F.col("event_id") * 31 % 7, F.dayofmonth("ts") % 3).write.parquet(place)
+    stream = incremental.stream_files(spark, place, files_per_trigger=1)
+    daily.start_daily_final(stream, state, "ts", "flagged", "event_type", delay_days=2).awaitTermination()
+    told = daily.announcements(spark, state).drop("batch")
+    every = told.unionByName(daily.open_days(spark, state).withColumn("kind", F.lit("open")))
+    return every.groupBy("day", "event_type").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_flagged").alias("n_flagged"),
+        (F.count_if(F.col("kind") == "final") <= 1).alias("told_once"), (F.count_if(F.col("kind") == "open") == 0).alias("closed"))
+
+
 @query
 def stream_daily_breach(spark, folder):
     state = _state(spark)

@@ -57,3 +57,46 @@ def test_streamed_cells(spark, fact, tmp_path):
     stream = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "fact"))
     cells.start_cells(stream, str(tmp_path / "c")).awaitTermination()
     assert tuple(cells.summary(spark, str(tmp_path / "c")).first()) == tuple(cards.kpi_global(fact).first())
+
+
+def test_days_are_told_once_and_corrected(spark, tmp_path):
+    from datetime import date, datetime
+
+    from deskmeter.streaming import daily
+
+    def take(batch, rows):
+        frame = spark.createDataFrame([(datetime(2024, 1, d, 12), g, f) for d, g, f in rows], "ts timestamp_ntz, g string, f boolean")
+        daily.take_batch(frame, batch, str(tmp_path / "days"), "ts", "f", "g", 1)
+
+    def told(batch):
+        found = daily.announcements(spark, str(tmp_path)).where(F.col("batch") == batch).collect()
+        return sorted((r["kind"], r["day"].day, r["g"], r["n_rows"], r["n_flagged"]) for r in found)
+
+    take(0, [(1, "a", True), (1, "a", None), (2, "a", False)])
+    assert told(0) == []
+    take(1, [(3, "b", True), (1, "b", False)])
+    assert told(1) == [("final", 1, "a", 2, 1), ("final", 1, "b", 1, 0)]
+    for _ in range(2):  # a replayed batch says the same
+        take(2, [(1, "a", True), (2, "a", True), (6, "a", True)])
+        assert told(2) == [("correction", 1, "a", 1, 1), ("final", 2, "a", 2, 1), ("final", 3, "b", 1, 1)]
+    take(3, [])
+    assert told(3) == [] and [(r["day"], r["n_rows"]) for r in daily.open_days(spark, str(tmp_path)).collect()] == [(date(2024, 1, 6), 1)]
+
+
+def test_sparse_one_hot_of_many_values(spark):
+    from deskmeter.ml import features
+
+    n = 20_000
+    df = spark.range(n).select(
+        "id", F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("a"),
+        F.when(F.col("id") % 2 == 0, F.col("id") % 5).alias("b"))
+    values = features.dictionary(df, ["a", "b"]).collect()
+    assert sorted(r["index"] for r in values) == list(range(len(values)))
+    by_place = {(r["place"], r["value"]): r["index"] for r in values}
+    assert max(i for (p, _), i in by_place.items() if p == 0) < min(i for (p, _), i in by_place.items() if p == 1)
+    order = sorted(by_place, key=lambda k: (k[0], k[1].encode()))
+    assert [by_place[k] for k in order] == list(range(len(order)))
+    found = {r["id"]: r["indices"] for r in features.one_hot_sparse(df, "id", ["a", "b"]).collect()}
+    assert len(found) == n
+    for r in df.collect():
+        assert found[r["id"]] == [by_place[p, str(r[c])] for p, c in enumerate("ab") if r[c] is not None]
