@@ -114,3 +114,14 @@ def train_evaluate(
         predictions=metrics.predictions_table(best, winner),
         roc=metrics.roc_curve(curves),
     )
+
+
+def metrics_document(model_metrics: DataFrame, model_comparison: DataFrame, run_summary: DataFrame) -> DataFrame:
+    """One row, one column: the stored metrics of a run as one JSON text, with the split's sizes, the comparison and the winner."""
+    figures = [c for c in model_metrics.columns if c not in ("model", "champion")]
+    by_model = F.map_from_entries(F.array_sort(F.collect_list(F.struct("model", F.struct(*figures)))))
+    models = model_metrics.agg(by_model.alias("m")).scalar()
+    winner = model_metrics.agg(F.max("champion").alias("c")).scalar()
+    comparison = model_comparison.select(F.struct("*").alias("s")).scalar()
+    document = F.struct(*run_summary.columns, models.alias("models"), comparison.alias("knn_comparison"), winner.alias("champion"))
+    return run_summary.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))

@@ -72,3 +72,8 @@ ORACLE["cards_from_cells"] = _W_FCT + " union all ".join(
     f"""select {i}::bigint as filter, 'total' as dimensao, null::varchar as valor, {_FIGURES} from fct where {condition}
     union all select {i}::bigint, 'priority', priority, {_FIGURES} from fct where {condition} group by priority"""
     for i, condition in enumerate(_CONDITIONS))
+
+ORACLE["lake_versions"] = _W_CLEAN + """, m as (select ticket_id, left(created_date, 7) as month, priority, reopened from clean)
+  select ticket_id, month, priority, case when month like '%-06' then 2 else reopened end::bigint as reopened,
+    (select count(distinct month) from m)::bigint as written_0, 0::bigint as written_1,
+    (select count(distinct month) from m where month like '%-06')::bigint as written_2 from m"""

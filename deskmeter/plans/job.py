@@ -2,21 +2,25 @@
 
     spark-submit -m deskmeter.plans.job <stage> --raw DIR --out DIR
 
-Stages are ``validate``, ``process``, ``ml``, ``load``, ``models``, ``dashboard`` and
-``all``. Each reads what the one before stored below ``--out``, so a failed run resumes at
-its stage and a repeated one gives the same tables.
+Stages are ``validate``, ``process``, ``ml``, ``load``, ``models``, ``dashboard``, ``lake`` (with ``--lake``) and
+``all``. Each reads what the one before stored below ``--out``, and a repeated one gives the same tables. With
+``--resume``, stages that have finished with the same inputs, parameters and code are skipped.
 """
 
 from __future__ import annotations
 
 import argparse
+import hashlib
+import json
 import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from deskmeter import schemas, sources
 from deskmeter.ml import training
@@ -27,9 +31,9 @@ from deskmeter.operators.text_features import text_features
 from deskmeter.plans import models
 from deskmeter.plans.dashboard import dashboard_document
 from deskmeter.session import get_session
-from deskmeter.sinks.publish import Target, materialise_view, publish, write_document
-from deskmeter.sources.raw import estimated_bytes
-from deskmeter.sources.inventory import check_schema, present_sources, require_sources
+from deskmeter.sinks.publish import Target, materialise_view, publish, publish_layers, write_document
+from deskmeter.sources.inventory import check_schema, file_states, path_exists, present_sources, require_sources
+from deskmeter.sources.raw import check_keys, estimated_bytes
 
 RAW_FILES = {
     "tickets": "tickets.csv",
@@ -39,6 +43,10 @@ RAW_FILES = {
 RAW_TABLES = ("tickets_clean", "text_features", "log_features", "predictions")
 BUCKET_BYTES = 512 * 1024 * 1024
 OWNER = "deskmeter.out"
+LAKE = {
+    "processed": ("tickets_clean", "text_features", "log_features", "ml_features", "predictions"),
+    "curated": ("fct_tickets", "fct_predictions", "mart_ticket_decision", "mart_ml_features"),
+}
 
 
 @dataclass
@@ -49,6 +57,9 @@ class Job:
     events_indent: int | None = None
     buckets: int | None = None
     exact_split: bool = True
+    target: Target | None = None
+    lake: str | None = None
+    resume: bool = False
 
     def __post_init__(self) -> None:
         self.report: list[tuple[str, str, int, float]] = []
@@ -67,7 +78,13 @@ class Job:
 
     # -- stages ----------------------------------------------------------------
     def validate(self) -> None:
-        require_sources(self.spark, {n: f"{self.raw.rstrip('/')}/{f}" for n, f in RAW_FILES.items()})
+        """All sources are there; the lines of each are counted, and the keys that messages need are in use."""
+        paths = {n: f"{self.raw.rstrip('/')}/{f}" for n, f in RAW_FILES.items()}
+        require_sources(self.spark, paths)
+        for name, path in paths.items():
+            self.report.append(("validate", name, self.spark.read.text(path).count(), 0.0))
+        needed = T.StructType([f for f in schemas.MESSAGES.fields if f.name in ("ticket_id", "body")])
+        check_keys(self.spark, paths["messages"], needed)
 
     def process(self) -> None:
         """Raw to silver. Text and log features shrink each source before anything is joined."""
@@ -99,12 +116,40 @@ class Job:
         self._store("ml", "processed", "model_comparison", outcome.comparison)
         self._store("ml", "processed", "run_summary", outcome.summary)
         self._store("ml", "processed", "roc_curve", outcome.roc)
+        stored = {n: self._stored("processed", n) for n in ("model_metrics", "model_comparison", "run_summary")}
+        write_document(training.metrics_document(**stored), self._path("processed", "metrics"))
         return outcome
 
+    def to_lake(self) -> dict[str, int]:
+        """Publish what the other stages have stored to the lake's layers; absent tables are skipped."""
+        if not self.lake:
+            raise ValueError("the lake's place is not given")
+        layers = {}
+        for layer, names in LAKE.items():
+            paths = present_sources(self.spark, {n: self._path(layer, n) for n in names})
+            layers[layer] = {n: self.spark.read.parquet(p) for n, p in paths.items()}
+        written = publish_layers(layers, self.lake)
+        self.report += [("lake", name, rows, 0.0) for name, rows in written.items()]
+        return written
+
+    # -- resuming --------------------------------------------------------------
+    def _fingerprint(self, stage: str, before: str) -> str:
+        """What a stage depends on: the raw files, the parameters, the library's code and the stage before."""
+        inputs = [file_states(self.spark, f"{self.raw.rstrip('/')}/{f}") for f in RAW_FILES.values()]
+        parameters = [self.events_indent, self.buckets, self.exact_split, repr(self.target), self.lake]
+        code = hashlib.sha256()
+        for file in sorted(Path(__file__).resolve().parents[1].rglob("*.py")):
+            code.update(file.read_bytes())
+        return hashlib.sha256(json.dumps([stage, before, inputs, parameters, code.hexdigest()]).encode()).hexdigest()
+
+    def _finished(self, stage: str) -> str | None:
+        path = self._path("_stages", stage)
+        return self.spark.read.text(path).first()[0] if path_exists(self.spark, f"{path}/_SUCCESS") else None
+
     def load(self, target: Target | None = None) -> dict[str, int]:
         """Publish the silver tables; absent ones are skipped. Catalogue tables are bucketed
         on the ticket so that the fact's joins need no exchange."""
-        target = target or Target("table", "raw")
+        target = target or self.target or Target("table", "raw")
         paths = {name: self._path("processed", name) for name in RAW_TABLES}
         tables = {n: self.spark.read.parquet(p) for n, p in present_sources(self.spark, paths).items()}
         bucket = ("ticket_id", self._bucket_count(tables)) if target.fmt == "table" and tables else None
@@ -176,11 +221,20 @@ class Job:
         """Run one stage or all of them; returns the run report."""
         stages: dict[str, Callable] = {
             "validate": self.validate, "process": self.process, "ml": self.ml,
-            "load": self.load, "models": self.models, "dashboard": self.dashboard,
+            "load": self.load, "models": self.models, "dashboard": self.dashboard, "lake": self.to_lake,
         }
+        if stage == "all" and not self.lake:
+            del stages["lake"]
+        mark = ""
         for name in stages if stage == "all" else [stage]:
-            started = time.monotonic()
+            started, mark = time.monotonic(), self._fingerprint(name, mark)
+            # a lone stage has no stage before it to be compared with, so it always runs
+            if self.resume and stage == "all" and self._finished(name) == mark:
+                self.report.append((name, "skipped", -1, 0.0))
+                continue
             stages[name]()
+            if stage == "all":
+                write_document(self.spark.createDataFrame([(mark,)], "value string"), self._path("_stages", name))
             self.report.append((name, "*", -1, time.monotonic() - started))
         return self.spark.createDataFrame(
             self.report, "stage string, table string, n_rows bigint, seconds double"
@@ -189,13 +243,19 @@ class Job:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("stage", choices=["validate", "process", "ml", "load", "models", "dashboard", "all"])
+    parser.add_argument("stage", choices=["validate", "process", "ml", "load", "models", "dashboard", "lake", "all"])
     parser.add_argument("--raw", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--events-indent", type=int, default=None)
     parser.add_argument("--buckets", type=int, default=None)
+    parser.add_argument("--target", default="table", help="format of the loaded tables: table, parquet, orc, csv, json, jdbc or a connector")
+    parser.add_argument("--location", default="raw", help="database, folder or URL of the target")
+    parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="option of the target; may be repeated")
+    parser.add_argument("--lake", default=None)
+    parser.add_argument("--resume", action="store_true")
     args = parser.parse_args(argv)
-    job = Job(get_session(), args.raw, args.out, args.events_indent, args.buckets)
+    target = Target(args.target, args.location, dict(o.split("=", 1) for o in args.option))
+    job = Job(get_session(), args.raw, args.out, args.events_indent, args.buckets, target=target, lake=args.lake, resume=args.resume)
     job.run(args.stage).show(100, truncate=False)
 
 

@@ -17,6 +17,7 @@ from deskmeter.plans import models
 from deskmeter.queries import query
 from deskmeter.session import reliable_checkpoint, shared_dir
 from deskmeter.sinks import publish as sink
+from deskmeter.sinks import versions
 from deskmeter.sinks.publish import Target
 from deskmeter.sources import derived as src
 from deskmeter.sources import raw, sniff
@@ -168,3 +169,16 @@ def cards_from_cells(spark, folder):
             found = found if by else found.withColumn("valor", F.lit(None).cast("string"))
             answers.append(found.select(F.lit(i).alias("filter"), F.lit(by or "total").alias("dimensao"), "valor", *found.drop("valor").columns))
     return reduce(DataFrame.unionByName, answers)
+
+
+@query
+def lake_versions(spark, folder):
+    """Tickets published by month in versions: as they are, once more, and with June's reopened."""
+    place = scratch(spark)
+    rows = reliable_checkpoint(src.tickets_clean(spark, folder).select(
+        "ticket_id", F.left(F.col("created_date").cast("string"), F.lit(7)).alias("month"), "priority", "reopened"))
+    reopened = rows.withColumn("reopened", F.when(F.col("month").endswith("-06"), 2).otherwise(F.col("reopened")).cast("int"))
+    rows = rows.withColumn("reopened", F.col("reopened").cast("int"))
+    told = [versions.publish_changed(df, place, "month") for df in (rows, rows, reopened)]
+    final = versions.read_version(spark, place, rows.schema)
+    return final.select("*", *[F.lit(n).alias(f"written_{i}") for i, (_, n) in enumerate(told)])

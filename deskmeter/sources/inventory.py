@@ -29,6 +29,12 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in _matches(spark, pattern)]
 
 
+def file_states(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, time of change) of a file, or of the files right inside a folder."""
+    inside = _matches(spark, f"{path}/*")
+    return sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in (inside or _matches(spark, path)))
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     found = _matches(spark, path)
     return len(found) == 1 and found[0].isFile()

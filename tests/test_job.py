@@ -37,7 +37,7 @@ def raw(spark, small, tmp_path_factory):
 
 
 def test_end_to_end(spark, raw, tmp_path, small):
-    job = Job(spark, str(raw), str(tmp_path), events_indent=1)
+    job = Job(spark, str(raw), str(tmp_path), lake=str(tmp_path / "lake"))
     spark.sql("DROP SCHEMA IF EXISTS raw CASCADE")
     report = {(r["stage"], r["table"]): r["n_rows"] for r in job.run("all").collect()}
     assert set(STORED) <= {t for _, t in report}
@@ -56,6 +56,11 @@ def test_end_to_end(spark, raw, tmp_path, small):
     assert doc["modelo_producao"] == max(domain.CANDIDATE_MODELS, key=lambda m: by_name[m]["f1"])
     comparison = spark.read.parquet(str(tmp_path / "processed" / "model_comparison")).first()
     assert (comparison["agreement"], comparison["diff_f1"], comparison["k"]) == (1.0, 0.0, 15)
+    assert report[("validate", "tickets")] == n + 1  # with the header
+    assert report[("lake", "curated/fct_tickets")] == spark.read.parquet(str(tmp_path / "lake" / "curated" / "fct_tickets")).count() == n
+    measured = json.loads(next((tmp_path / "processed" / "metrics").glob("part-*")).read_text(encoding="utf-8"))
+    assert measured["champion"] == doc["modelo_producao"] and measured["models"]["svm"]["f1"] == by_name["svm"]["f1"]
+    assert measured["n_train"] + measured["n_test"] == report[("process", "ml_features")] and measured["knn_comparison"]["k"] == 15
     # a repeated stage overwrites and gives the same table
     again = Job(spark, str(raw), str(tmp_path))
     before = {tuple(r) for r in spark.read.parquet(str(tmp_path / "curated" / "fct_tickets")).collect()}
@@ -83,3 +88,32 @@ def test_failing_data_test_stops_before_the_marts(spark, small, tmp_path):
     with pytest.raises(QualityError, match="not_null stg_predictions.ticket_id"):
         Job(spark, "unused", str(tmp_path)).models()
     assert not (tmp_path / "curated").exists()
+
+
+def test_a_stopped_job_goes_on_where_it_stopped(spark, raw, tmp_path, monkeypatch):
+    spark.sql("DROP SCHEMA IF EXISTS raw CASCADE")
+
+    def job(**changes):
+        return Job(spark, str(raw), str(tmp_path), target=Target("parquet", str(tmp_path / "loaded")), resume=True, **changes)
+
+    def states(report):
+        return {r["stage"]: r["table"] for r in report.collect() if r["table"] in ("*", "skipped")}
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Job, "load", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            job().run("all")
+    resumed = states(job().run("all"))
+    assert [k for k, v in resumed.items() if v == "skipped"] == ["validate", "process", "ml"]
+    assert spark.read.parquet(str(tmp_path / "loaded" / "log_features")).count() > 0
+    assert set(states(job().run("all")).values()) == {"skipped"}
+    assert states(job(buckets=3).run("all"))["process"] == "*"  # another parameter: nothing can be taken over
+
+
+def test_messages_without_bodies_stop_the_job(spark, raw, tmp_path):
+    import shutil
+
+    shutil.copytree(raw, tmp_path / "raw", ignore=lambda d, names: [n for n in names if n.startswith("ticket_messages")])
+    (tmp_path / "raw" / "ticket_messages.jsonl").write_text('{"ticket_id": "1", "text": "renamed"}\n')
+    with pytest.raises(ValueError, match="body"):
+        Job(spark, str(tmp_path / "raw"), str(tmp_path)).run("validate")
