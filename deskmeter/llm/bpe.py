@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmeter.llm.common import lean, lengths, slices, texts
+from deskmeter.llm.common import give_back, lean, lengths, slices, texts
 
 BATCH_BYTES, STRETCH, REMEMBERED_BYTES, LONG, QUERY_WORDS = 2 << 20, 400_000, 48 << 20, 256, 20_000
 
@@ -78,7 +78,6 @@ FROM id_rows LEFT JOIN vocabulary USING (id) GROUP BY row ORDER BY row
 
 class Coder:
     def __init__(self, vocabulary: bytes, pattern: str):
-        import duckdb
         import regex
 
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines()) if a}
@@ -96,10 +95,26 @@ class Coder:
             (a, b, i) for token, i in self.ranks.items() for k in range(1, len(token))
             if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None
         ]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        self._load("merges", {n: np.array(c, np.int32) for n, c in zip("lr", list(zip(*merges, strict=True))[:2], strict=True)}
-                   | {"id": np.array([m[2] for m in merges], np.int32)})
-        self._load("vocabulary", {"id": np.array(list(self.tokens), np.int32), "token": list(self.tokens.values())})
+        self.merges = {n: np.array(c, np.int32) for n, c in zip(("l", "r", "id"), zip(*merges, strict=True), strict=True)}
+        self._db = None
+
+    @property
+    def db(self):
+        """The database, with the merge table and the vocabulary; it is there from its first use to the task's end."""
+        import duckdb
+
+        if self._db is None:
+            self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+            self._load("merges", self.merges)
+            self._load("vocabulary", {"id": np.array(list(self.tokens), np.int32), "token": list(self.tokens.values())})
+        return self._db
+
+    def rest(self) -> None:
+        """At the end of a task: all goes but the vocabulary and the remembered words."""
+        if self._db is not None:
+            self._db.close()
+            self._db = None
+        give_back()
 
     def _load(self, name: str, columns: dict) -> None:
         self.db.register("_given", pa.table({k: pa.array(v) for k, v in columns.items()}))
@@ -272,6 +287,7 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, *keep: str, text
             column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
             arrays, names = _kept(batch, "text")
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.diff(ends), pa.int64()), column], [*names, "n_tokens", "ids"])
+        coder(vocabulary, pattern).rest()
 
     rows = texts(docs, *keep, text=text_col)
     return rows.mapInArrow(run, f"{_schema(rows, 'text')}, n_tokens bigint, ids array<int>")
@@ -289,6 +305,7 @@ def decode(rows: DataFrame, vocabulary_path: str, pattern: str, *keep: str, ids_
                 arrays, names = _kept(part, "ids")
                 decoded = coder(vocabulary, pattern).decode(part.column("ids").to_pylist())
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(decoded, pa.binary())], [*names, "decoded"])
+        coder(vocabulary, pattern).rest()
 
     return ready.mapInArrow(run, f"{_schema(ready, 'ids')}, decoded binary")
 
@@ -304,6 +321,7 @@ def encode_digests(docs: DataFrame, vocabulary_path: str, pattern: str, id_col:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded), pa.array(lengths(batch.column("text")))],
                 [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"])
+        coder(vocabulary, pattern).rest()
 
     rows = texts(docs, id_col, text=text_col)
     return rows.mapInArrow(run, f"{_schema(rows, 'text')}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint")

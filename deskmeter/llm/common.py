@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
 import numpy as np
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from deskmeter.session import shared_dir
 
+_MMAP_THRESHOLD, _ARENA_MAX = -3, -8  # numbers of glibc's mallopt
 _owner: ContextVar[list[str] | None] = ContextVar("owner", default=None)
 
 
@@ -91,8 +94,22 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 
 
 def lean() -> None:
-    """Let Arrow take memory from the system in this worker, which gets back what a batch has used."""
+    """Let this worker take large pieces of memory from the system one by one, so that they go back when freed.
+
+    Workers outlive their tasks, and what one keeps is missing in the next stage. Without glibc only Arrow's part is done.
+    """
     pa.set_memory_pool(pa.system_memory_pool())
+    with suppress(AttributeError, OSError):
+        libc = ctypes.CDLL(None)
+        libc.mallopt(_MMAP_THRESHOLD, 1 << 20)
+        libc.mallopt(_ARENA_MAX, 2)
+
+
+def give_back() -> None:
+    """At the end of a task: return what is free to the system."""
+    gc.collect()
+    with suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.RecordBatch]:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmeter.llm.bitfilter import BITS, build, passes
-from deskmeter.llm.common import owning, release, slices, store, texts, utf8, with_rows
+from deskmeter.llm.common import lean, owning, release, slices, store, texts, utf8, with_rows
 from deskmeter.llm.components import contract, relabel
 from deskmeter.llm.words import grams, hashes, mix, spans
 
@@ -122,6 +122,7 @@ def _band_keys(found: np.ndarray, band: int, rule: Rule, edges: np.ndarray) -> n
 
 def _keys_only(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in slices(batches, BATCH_BYTES):
             keys = [sketch_keys(s, rule) for s in shingle_sets(batch.column("text"), rule.words)]
             flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)

@@ -33,7 +33,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskmeter.llm.common import lean, slices, store, utf8
+from deskmeter.llm.common import give_back, lean, slices, store, utf8
 
 MAX_LABELLED, MAX_TERMS, STEMS = 20_000, 2000, range(4, 9)
 BATCH_BYTES = 4 << 20
@@ -237,6 +237,7 @@ def with_features(docs: DataFrame, lexicon: dict[str, float], name: str, text_co
                 pa.array(np.arange(len(rows) + 1) * len(FEATURES), pa.int32()), pa.array(rows.ravel()))
             kept = [(n, batch.column(i)) for i, n in enumerate(batch.schema.names) if n != work]
             yield pa.RecordBatch.from_arrays([*(c for _, c in kept), flat], [*(n for n, _ in kept), name])
+        give_back()
 
     ready = docs.withColumn(work, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
