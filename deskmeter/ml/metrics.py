@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from deskmeter import domain
 from deskmeter.functions.numeric import ratio, round_binary, round_even
 from deskmeter.operators.ordering import cumulative_desc
+from deskmeter.session import reliable_checkpoint
 
 
 def confusion_counts(scores: DataFrame, by: list[str]) -> DataFrame:
@@ -23,9 +24,18 @@ def confusion_counts(scores: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def collapsed(scores: DataFrame, by: tuple[str, ...] = ("model",)) -> DataFrame:
+    """(by, score, y_pred, pos, neg): rows of each true class, stored once; all metrics follow from these."""
+    return reliable_checkpoint(scores.groupBy(*by, "score", "y_pred").agg(
+        F.count_if(F.col("y_true") == 1).alias("pos"), F.count_if(F.col("y_true") != 1).alias("neg")))
+
+
 def classification_metrics(scores: DataFrame, by: tuple[str, ...] = ("model",), digits: int = 4) -> DataFrame:
     """accuracy, precision, recall and f1; a zero denominator gives 0."""
-    counts = confusion_counts(scores, list(by))
+    return _rates(confusion_counts(scores, list(by)), digits)
+
+
+def _rates(counts: DataFrame, digits: int) -> DataFrame:
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     raw = {
         "accuracy": ratio(tp + tn, tp + fp + fn + tn),
@@ -38,12 +48,13 @@ def classification_metrics(scores: DataFrame, by: tuple[str, ...] = ("model",),
     )
 
 
-def score_steps(scores: DataFrame, by: list[str]) -> DataFrame:
-    """One row per distinct score with running positives and negatives from the top down."""
-    grouped = scores.groupBy(*by, "score").agg(
-        F.sum((F.col("y_true") == 1).cast("long")).alias("pos"),
-        F.sum((F.col("y_true") != 1).cast("long")).alias("neg"),
-    )
+def score_steps(scores: DataFrame, by: list[str], counted: DataFrame | None = None) -> DataFrame:
+    """One row per distinct score with running positives and negatives from the top down.
+
+    The classes per score are counted once and stored (``counted``, if they are already), however often they are read.
+    """
+    counted = collapsed(scores, tuple(by)) if counted is None else counted
+    grouped = counted.groupBy(*by, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     return cumulative_desc(grouped, by, "score", ["pos", "neg"])
 
 
@@ -58,9 +69,9 @@ def roc_curve(scores: DataFrame, by: tuple[str, ...] = ("model",)) -> DataFrame:
     )
 
 
-def roc_auc(scores: DataFrame, by: tuple[str, ...] = ("model",), digits: int = 4) -> DataFrame:
+def roc_auc(scores: DataFrame, by: tuple[str, ...] = ("model",), digits: int = 4, counted: DataFrame | None = None) -> DataFrame:
     """Exact area: share of (positive, negative) pairs ranked correctly, ties count half."""
-    steps = score_steps(scores, list(by))
+    steps = score_steps(scores, list(by), counted)
     below = F.col("all_neg") - F.col("cum_neg") + F.col("neg") / 2.0
     area = F.sum(F.col("pos") * below)
     pairs = F.max("all_pos").cast("double") * F.max("all_neg").cast("double")
@@ -68,10 +79,12 @@ def roc_auc(scores: DataFrame, by: tuple[str, ...] = ("model",), digits: int = 4
 
 
 def evaluate(scores: DataFrame, by: tuple[str, ...] = ("model",)) -> DataFrame:
-    """All five metrics, one row per model."""
-    return classification_metrics(scores, by).drop("tp", "fp", "fn", "tn").join(
-        roc_auc(scores, by), list(by)
-    )
+    """All five metrics, one row per model, from one reading of the scores."""
+    counted, hit = collapsed(scores, by), F.col("y_pred") == 1
+    counts = counted.groupBy(*by).agg(*[
+        F.coalesce(F.sum(F.when(side, F.col(name))), F.lit(0)).alias(label)
+        for label, side, name in (("tp", hit, "pos"), ("fp", hit, "neg"), ("fn", ~hit, "pos"), ("tn", ~hit, "neg"))])
+    return _rates(counts, 4).drop("tp", "fp", "fn", "tn").join(roc_auc(scores, by, counted=counted), list(by))
 
 
 def minmax(df: DataFrame, column: str, name: str = "score") -> DataFrame:
@@ -83,7 +96,9 @@ def minmax(df: DataFrame, column: str, name: str = "score") -> DataFrame:
 
 
 def agreement(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """One row: share of rows two models label alike, F1 and AUC of both, and right - left."""
+    """One row: share of rows two models label alike, F1 and AUC of both, and right - left. Either side is computed once."""
+    columns = [key, "y_true", "score", "y_pred"]
+    left, right = reliable_checkpoint(left.select(*columns)), reliable_checkpoint(right.select(*columns))
     both = left.select(key, F.col("y_pred").alias("_a")).join(
         right.select(key, F.col("y_pred").alias("_b")), key
     )
@@ -158,7 +173,7 @@ def run_summary(split: DataFrame, label: str, n_features: int) -> DataFrame:
 
 
 __all__ = [
-    "agreement", "champion", "classification_metrics", "confusion_counts", "evaluate",
+    "agreement", "champion", "classification_metrics", "collapsed", "confusion_counts", "evaluate",
     "majority_baseline", "majority_class", "minmax", "predictions_table", "priority_baseline",
     "roc_auc", "roc_curve", "run_summary", "score_steps",
 ]

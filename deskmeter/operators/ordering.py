@@ -49,17 +49,19 @@ def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 def cumulative_desc(
-    df: DataFrame, by: list[str], key: str, sums: list[str], buckets: int = BUCKETS
+    df: DataFrame, by: list[str], key: str, sums: list[str], buckets: int | None = None
 ) -> DataFrame:
     """Running totals from the highest ``key`` down, per group, plus the group totals.
 
     ``df`` holds one row per (``by``, ``key``). For each name in ``sums`` the result gains
     ``cum_<name>`` (this row included) and ``all_<name>``. The cut points are quantiles over
     all rows, one short list whatever the number of groups. Rows and bucket totals meet on
-    (``by``, bucket), the partitioning the window already has.
+    (``by``, bucket), the partitioning the window already has. There are as many buckets as shuffle partitions,
+    ``BUCKETS`` at least.
     """
+    buckets = buckets or max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = df.agg(F.percentile_approx(key, fractions, F.lit(1000)).alias("cuts")).scalar()
+    cuts = df.agg(F.percentile_approx(key, fractions, F.lit(16 * buckets)).alias("cuts")).scalar()
     placed = df.withColumn("_cuts", cuts).withColumn(
         "_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col(key)))
     ).drop("_cuts")
