@@ -261,3 +261,37 @@ def test_disguised_words_at_edges(text, hidden, signs):
     lexicon = tuple((f"{w} ", 3.0) for w in ("ass", "asshole", "idiot", "stupid"))
     row = dict(zip(FEATURES, feature_rows(pa.array(["e", text, "1"]), lexicon)[1].tolist(), strict=True))
     assert row["hidden_hits"] == hidden and round(row["signs_in_words"] * len(text.split())) == signs
+
+
+def test_features_of_a_very_long_text_within_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from deskmeter.llm.toxicity import FEATURES, feature_rows
+
+    text = "You are a st*pid f00l! " * (1 << 20)  # 23 MB
+    column = pa.array([text])
+    tracemalloc.start()
+    rows = feature_rows(column, (("fool", 1.0),))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows.shape == (1, len(FEATURES)) and peak < 14 * len(text)
+
+
+def test_remembered_words_have_a_bound_and_change_nothing(monkeypatch):
+    import public_tokenizers
+
+    from deskmeter.llm import bpe
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        coder = bpe.Coder(file.read(), public_tokenizers.PATTERN)
+    texts_ = [f"word{i} and another{i * 7} é{i}" for i in range(400)]
+    want = coder.digests(texts_)
+    coder.rest()
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 2000)
+    coder.forget()
+    assert [d for i in range(0, 400, 50) for d in coder.digests(texts_[i : i + 50])] == want
+    assert len(coder.words) < 400 and coder._db is not None
+    coder.rest()
+    assert coder._db is None and coder.digests(texts_[:3]) == want[:3]
