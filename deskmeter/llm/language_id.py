@@ -39,11 +39,11 @@ SAMPLE_DOCS, SAMPLE_CHARS, TOTAL_CHARS = 32, 1000, 2_000_000
 STRETCH, PIECE = 1024, 250
 BATCH_BYTES = 2 << 20
 _GAP, _OTHER, _FIRST = 0, 1, 2  # not a letter, a letter without a symbol of its own
-_SYMBOLS = 250
+_DENSE = 256  # the commonest symbols have a column each in the table of transitions, all others a sorted list
 
 
-def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
-    """Transitions of the smallest automaton of all substrings; row 0 is the start, 0 is none."""
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions (symbol to state) of the smallest automaton of all substrings, by state; state 0 is the start."""
     follow, link, length, last = [{}], [-1], [0], 0
     for c in symbols:
         state = len(follow)
@@ -68,11 +68,7 @@ def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[state] = copy
         last = state
-    table = np.zeros((len(follow), size), np.int32)
-    for state, arcs in enumerate(follow):
-        for c, to in arcs.items():
-            table[state, c] = to
-    return table
+    return follow
 
 
 class Parser:
@@ -81,26 +77,46 @@ class Parser:
     def __init__(self, sample: dict[str, str]):
         self.labels = sorted(sample)
         seen = Counter(c for text in sample.values() for c in text.lower() if c.isalpha())
-        own = {c: i for i, (c, _) in enumerate(sorted(seen.most_common(_SYMBOLS)), _FIRST)}
-        self.code = np.full(0x110000, _GAP, np.uint8)
+        own = {c: i for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0])), _FIRST)}
+        self.code = np.full(0x110000, _GAP, np.int32)
         for point in range(0x110000):
             if (c := chr(point)).isalpha():
                 self.code[point] = own.get(c.lower(), _OTHER)
         self.size = len(own) + _FIRST
-        tables, self.roots, at = [], [], 0
+        self.dense = min(self.size, _DENSE)
+        tables, self.roots, at, rare = [], [], 0, {}
         for label in self.labels:
-            # a letter without a symbol is never matched
-            t = suffix_automaton(self.symbols(sample[label]).tolist(), self.size)
-            tables.append(np.where(t > 0, t + at, -1))
-            tables[-1][:, _OTHER] = -1
+            follow = suffix_automaton(self.symbols(sample[label]).tolist())
+            table = np.full((len(follow), self.dense), -1, np.int32)
+            for state, arcs in enumerate(follow):
+                for c, to in arcs.items():
+                    if c < self.dense:
+                        table[state, c] = to + at
+                    else:
+                        rare[(state + at) * self.size + c] = to + at
+            table[:, _OTHER] = -1  # a letter that no sample has is never matched
+            tables.append(table)
             self.roots.append(at)
-            at += len(t)
-        self.table = np.concatenate(tables).astype(np.int32).ravel()
+            at += len(follow)
+        self.table = np.concatenate(tables).ravel()
+        self.rare = np.array(sorted(rare), np.int64)
+        self.rare_to = np.array([rare[k] for k in self.rare.tolist()], np.int32)
         self.bits = np.log2([max(2, len(sample[label])) for label in self.labels])
 
     def symbols(self, text: str) -> np.ndarray:
         return self.code[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
 
+    def next(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The states behind symbols ``c`` (one per column), -1 where there is none."""
+        if self.size <= self.dense:
+            return self.table[state * self.dense + c]
+        to = self.table[state * self.dense + np.minimum(c, self.dense - 1)]
+        if len(some := np.flatnonzero(c >= self.dense)):
+            key = np.broadcast_to(state, to.shape)[:, some].astype(np.int64) * self.size + c[some]
+            at = np.minimum(np.searchsorted(self.rare, key), len(self.rare) - 1)
+            to[:, some] = np.where(self.rare[at] == key, self.rare_to[at], -1)
+        return to
+
     def phrases(self, symbols: np.ndarray, ends: np.ndarray, stretch: int) -> np.ndarray:
         """Phrases of each text (rows) in each language; ``ends`` are the texts' ends."""
         sizes = np.diff(ends, prepend=0)
@@ -117,11 +133,15 @@ class Parser:
         active = len(owner) - np.searchsorted(length[::-1], np.arange(length[0] if len(length) else 0), side="right")
         for step, n in enumerate(active):
             c = symbols[begin[:n] + step]
-            to = self.table[state[:, :n] * self.size + c]
+            to = self.next(state[:, :n], c)
             miss = to < 0
-            again = np.broadcast_to(self.table[root * self.size + c], to.shape)
-            state[:, :n] = np.where(miss, np.where(again < 0, root, again), to)
+            again = np.broadcast_to(self.next(root, c), to.shape)
+            # a letter that is nowhere in the sample is a phrase of its own, behind the one that it ends
+            alone = miss & (again < 0)
             count[:, :n] += miss
+            count[:, :n] += alone & (state[:, :n] != root)
+            state[:, :n] = np.where(miss, np.where(again < 0, root, again), to)
+        count -= state == root  # no phrase is open at the end
         total = np.zeros((len(sizes), len(root)), np.int64)
         np.add.at(total, owner, count.T)
         return total

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -159,12 +160,12 @@ def test_empty_tables(spark, documents, folder, name):
 def test_suffix_automaton_knows_all_substrings():
     rng = random.Random(4)
     text = [rng.randrange(2, 5) for _ in range(60)]
-    table = suffix_automaton(text, 5)
+    follow = suffix_automaton(text)
 
     def known(part):
         state = 0
         for c in part:
-            if not (state := int(table[state, c])):
+            if not (state := follow[state].get(c, 0)):
                 return False
         return True
 
@@ -175,6 +176,42 @@ def test_suffix_automaton_knows_all_substrings():
         assert known(part) == (part in inside)
 
 
+def plain_phrases(text, sample):
+    """Greedy cross-parsing: longest parts found in the sample; a letter that it lacks is a phrase of its own."""
+    text, sample = ("".join(c if c.isalpha() else " " for c in x.lower()) for x in (text, sample))
+    count, part = 0, ""
+    for c in text:
+        if part + c in sample:
+            part += c
+        else:
+            count += bool(part)
+            part = c if c in sample else ""
+            count += not part
+    return count + bool(part)
+
+
+def test_phrases_as_a_plain_parser():
+    from deskmeter.llm.language_id import Parser
+
+    rng = random.Random(6)
+    wide = [[chr(0x4E00 + i) for i in range(at, at + 600)] for at in (0, 400)]
+    letters = {"a": "abcde é", "b": "abcdxyz ", "wide one": [*wide[0], " "], "wide two": [*wide[1], " "]}
+    sample = {k: "".join(rng.choice(v) for _ in range(3000)) for k, v in letters.items()}
+    parser = Parser(sample)
+    texts_ = ["".join(rng.choice(v) for _ in range(rng.randrange(1, 400))) for v in letters.values() for _ in range(6)]
+    texts_ += ["ааж", "abc жж de", "q", "a", "zzzé"]
+    symbols = [parser.symbols(t) for t in texts_]
+    ends = np.cumsum([len(x) for x in symbols])
+    found = parser.phrases(np.concatenate(symbols), ends, 1 << 20)
+    for t, row in zip(texts_, found.tolist(), strict=True):
+        assert row == [plain_phrases(t, sample[k]) for k in parser.labels]
+    long = ["".join(rng.choice(letters[k]) for _ in range(3000)) for k in letters]
+    assert parser.predict(long, 1024)[0] == list(letters)
+    # what is counted decides: fewest phrases times bits
+    bits = found * parser.bits
+    assert parser.predict(texts_, 1 << 20)[0] == [parser.labels[i] for i in bits.argmin(axis=1)]
+
+
 def test_language_held_out(spark, small, documents):
     found = QUERIES["op3_language_id"](spark, small)
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
