@@ -13,6 +13,7 @@ from deskmeter.ml import features, knn, metrics, network, svm
 from deskmeter.ml.split import hash_split, stratified_split
 from deskmeter.session import reliable_checkpoint
 
+# fixed values: the published names of the baselines
 BASELINE_MAJORITY = "baseline_majoritaria"
 BASELINE_RULE = "baseline_regra_prioridade"
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from deskmeter import domain
 
+# fixed values: as in the published data dictionary and the derived tables
 CHANNELS = ["Email", "Chat", "Telefone", "Formulário Web", "Redes Sociais"]
 PRODUCTS = ["Plataforma Web", "App Mobile", "API", "Integrações", "Faturamento", "Relatórios"]
 CATEGORIES = [

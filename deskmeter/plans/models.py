@@ -17,6 +17,7 @@ from deskmeter import domain
 from deskmeter.functions import ticket
 from deskmeter.operators.ordering import surrogate_key
 
+# fixed values: the columns of the published models
 TICKET_COLUMNS = [
     "ticket_id", "created_at", "created_date", "created_hour", "created_weekday", "created_month",
     "channel", "product", "category", "priority", "customer_tier", "region",
