@@ -76,9 +76,8 @@ def _mart(spark, folder):
 
 
 def _models(spark, folder):
-    raw = src.raw_tables(spark, folder)
-    # in the job this is a stored table, written by the training step
-    raw["predictions"] = reliable_checkpoint(raw["predictions"])
+    # in the job these are stored tables, written by the steps before
+    raw = {name: reliable_checkpoint(df) for name, df in src.raw_tables(spark, folder).items()}
     return models.build_all(raw, store=reliable_checkpoint)
 
 
