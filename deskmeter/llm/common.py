@@ -11,6 +11,7 @@ from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,9 +69,18 @@ def fresh(docs: DataFrame, name: str) -> str:
 
 
 def with_rows(docs: DataFrame, id_col: str) -> tuple[DataFrame, str, str]:
-    """``docs`` stored with a key of its own for every row, ordered by id: (rows, name of the key, name of the row's number)."""
+    """``docs`` with a key of its own for every row, ordered by id: (rows, name of the key, name of the row's mark).
+
+    A row read from Parquet is known by its file and place there; other rows are stored with a number first, so that
+    the mark is the same however often they are read.
+    """
     row = fresh(docs, "_row")
-    rows = store(docs.withColumn(row, F.monotonically_increasing_id()))
+    try:
+        place = [F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")]
+        rows = docs.select("*", F.concat_ws(":", *place).alias(row))
+        rows.schema  # noqa: B018  resolves the columns
+    except AnalysisException:
+        rows = store(docs.withColumn(row, F.monotonically_increasing_id()))
     key = fresh(rows, "_key")
     return rows.withColumn(key, F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(row).alias("row"))), key, row
 
