@@ -42,6 +42,9 @@ QUERY_ROWS = 8192
 TRAIN_ROWS = 16384
 MAX_PIVOTS = 1024
 _SLICE = 65536
+#: Entries of a matrix of distances that are looked at together, and rows that are sent on together.
+_ENTRIES = 1 << 19
+_ROUTED = 4096
 
 
 def _rows(column: pa.ChunkedArray) -> np.ndarray:
@@ -77,7 +80,7 @@ def block_neighbours(query: np.ndarray, train: np.ndarray, k: int) -> tuple[np.n
     moved, norms = train - middle, ((train - middle) ** 2).sum(1).max(initial=0.0)
     out_q, out_t, out_d = [], [], []
     take = min(k, len(train))
-    step = max(1, 4_000_000 // max(1, len(train)))
+    step = max(1, _ENTRIES // max(1, len(train)))
     for start in range(0, len(query), step):
         part = query[start:start + step]
         near = part - middle
@@ -213,6 +216,14 @@ def choose_pivots(train: DataFrame) -> np.ndarray:
     return np.array(list(distinct)[:wanted], dtype=np.float64)
 
 
+def _pieces(batches, columns: int):
+    """Tables of so few rows that a matrix of ``columns`` columns beside them stays within ``_ENTRIES``."""
+    step = max(1, _ENTRIES // max(1, columns))
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            yield pa.Table.from_batches([batch.slice(start, step)])
+
+
 def _assign(train: DataFrame, pivots: np.ndarray) -> DataFrame:
     """Add the nearest pivot's cell and the distance to it."""
     schema = T.StructType([
@@ -220,10 +231,7 @@ def _assign(train: DataFrame, pivots: np.ndarray) -> DataFrame:
     ])
 
     def nearest(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if not len(table):
-                continue
+        for table in _pieces(batches, len(pivots)):
             d2 = _squared(_rows(table["features"]), pivots)
             cell = d2.argmin(1)
             table = table.append_column("cell", pa.array(cell, pa.int32()))
@@ -238,10 +246,7 @@ def _home_cells(queries: DataFrame, pivots: np.ndarray, sizes: np.ndarray, k: in
     schema = T.StructType([*queries.schema.fields, T.StructField("homes", T.ArrayType(T.IntegerType()))])
 
     def home(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if not len(table):
-                continue
+        for table in _pieces(batches, len(pivots)):
             order = _squared(_rows(table["features"]), pivots).argsort(1, kind="stable")
             reached = sizes[order].cumsum(1)
             need = np.minimum((reached < k).sum(1) + 1, len(pivots))
@@ -268,10 +273,7 @@ def _other_cells(
     norms = (np.sqrt((pivots**2).sum(1)) + high).max(initial=0.0) ** 2  # no training row is longer
 
     def route(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if not len(table):
-                continue
+        for table in _pieces(batches, len(pivots)):
             d2 = _squared(_rows(table["features"]), pivots)
             d = np.sqrt(d2)
             limit = np.sqrt(table["limit"].to_numpy())
@@ -284,11 +286,13 @@ def _other_cells(
             with np.errstate(invalid="ignore"):
                 beyond = np.where(gap > 0, 2.0 * gap * reach + 4.0 * error[:, None], np.inf)
             wanted = (shell <= reach) & (d2 - d2.min(1)[:, None] <= beyond) & (sizes > 0)[None, :]
-            for i, homes in enumerate(table["homes"].to_pylist()):
-                wanted[i, homes] = False
+            homes = table["homes"].combine_chunks()
+            wanted[np.repeat(np.arange(len(table)), pc.list_value_length(homes)), pc.list_flatten(homes)] = False
             at, cell = np.nonzero(wanted)
-            routed = table.select(["id", "features"]).take(pa.array(at))
-            yield from routed.append_column("cell", pa.array(cell, pa.int32())).to_batches()
+            for start in range(0, len(at), _ROUTED):
+                part = slice(start, start + _ROUTED)
+                routed = table.select(["id", "features"]).take(pa.array(at[part]))
+                yield from routed.append_column("cell", pa.array(cell[part], pa.int32())).to_batches()
 
     return queries.mapInArrow(route, schema)
 

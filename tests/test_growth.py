@@ -17,3 +17,27 @@ def test_machine_keeps_part_of_its_working_set(spark):
     found = svm.fit(train, train.limit(1), gamma=0.1, working=32)
     assert found.rounds <= 42  # 51 when every round began with a new set
     assert svm.optimality(found).first()["violators"] == 0
+
+
+def test_matrix_has_a_task_for_every_share_of_rows(spark):
+    number = {c: (F.col("ticket_id") * (i + 3) % 17).alias(c) for i, c in enumerate(domain.NUMERIC)}
+    ml = spark.range(9000).withColumnRenamed("id", "ticket_id").coalesce(1).select(
+        "ticket_id", *number.values(), *[(F.col("ticket_id") % 3).cast("string").alias(c) for c in domain.CATEGORICAL],
+        (F.col("ticket_id") % 4 == 0).cast("int").alias(domain.TARGET))
+    data = training.prepare(ml, exact=False)
+    assert data.train.rdd.getNumPartitions() == 4 and data.train.count() + data.test.count() == 9000  # 1 before
+    assert training.prepare(ml.limit(50), exact=False).train.rdd.getNumPartitions() == 1
+
+
+def test_routed_queries_leave_in_small_batches(spark):
+    rng = np.random.default_rng(0)
+    pivots = rng.normal(size=(200, 4))
+    rows = pa.table({"id": np.arange(3000), "features": pa.array(rng.normal(size=(3000, 4)).tolist())})
+    sizes = [len(t) * 200 for t in knn._pieces(rows.to_batches(), 200)]
+    assert max(sizes) <= knn._ENTRIES and sum(sizes) == 3000 * 200
+    queries = spark.createDataFrame([(i, [float(i), 0.0, 0.0, 0.0], [0, 3], float("inf")) for i in range(300)],
+                                    "id long, features array<double>, homes array<int>, limit double")
+    one = np.ones(200)
+    routed = knn._other_cells(queries.coalesce(1), pivots, one.astype(int), 0 * one, 9 * one)
+    biggest = routed.mapInArrow(lambda b: (pa.RecordBatch.from_pydict({"n": [x.num_rows]}) for x in b), "n long").agg(F.max("n")).first()[0]
+    assert biggest <= 10_000 and routed.count() == 300 * 198  # every cell but the two searched already
