@@ -16,6 +16,8 @@ from deskmeter.session import reliable_checkpoint
 # fixed values: the published names of the baselines
 BASELINE_MAJORITY = "baseline_majoritaria"
 BASELINE_RULE = "baseline_regra_prioridade"
+#: Rows of the matrix that are worth a task of their own.
+ROWS_PER_TASK = 2048
 
 
 @dataclass
@@ -28,6 +30,14 @@ class Prepared:
     split: DataFrame
 
 
+def tasks(rows: DataFrame) -> int:
+    """The tasks that a learner is worth: as many as the session has cores, each with ``ROWS_PER_TASK`` rows or more.
+
+    Learners go over the stored matrix hundreds of times with one task per file, and a join's coalesced result may be one file.
+    """
+    return max(1, min(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // ROWS_PER_TASK))
+
+
 def prepare(ml: DataFrame, exact: bool = True, seed: int = domain.SEED, stored: bool = False) -> Prepared:
     """Split, fit the encoders and build the matrix.
 
@@ -46,7 +56,7 @@ def prepare(ml: DataFrame, exact: bool = True, seed: int = domain.SEED, stored:
     side = F.col("is_test")
     train_rows = split.where(side == 0)
     full = features.matrix(split, train_rows, categories, keep=("priority", "is_test"))
-    full = reliable_checkpoint(full)
+    full = reliable_checkpoint(full.repartition(tasks(split), "id"))
     return Prepared(
         full.where(side == 0).drop("is_test"),
         full.where(side == 1).drop("is_test"),
