@@ -8,7 +8,7 @@ vocabulary and puts the bytes together by an ordered aggregate.
 
 Scale: no exchange; Spark deals out the rows, and DuckDB (one thread, in memory, no files) sees the
 distinct words of one batch of ``BATCH_BYTES``. Known words are remembered in Arrow and numpy arrays, of
-``REMEMBERED_BYTES`` at most, whatever the number of tasks of a worker.
+``REMEMBERED`` at most, whatever the number of tasks of a worker.
 The rounds of the query grow with a word's length, so words over ``LONG`` bytes (which
 natural text hardly has) are contracted by the same rule with a heap. Long texts are
 worked through in stretches of ``STRETCH`` words. What is sent to the executors is the vocabulary file.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from deskmeter.llm.common import give_back, lean, lengths, slices, texts
 
-BATCH_BYTES, STRETCH, REMEMBERED_BYTES, LONG, QUERY_WORDS = 2 << 20, 400_000, 48 << 20, 256, 20_000
+BATCH_BYTES, STRETCH, REMEMBERED, LONG, QUERY_WORDS = 2 << 20, 400_000, 48 << 20, 256, 20_000
 
 # fixed values: code points that the pattern engine here counts as letters or numbers and the tokenizer's
 # library, with an older Unicode version, does not
@@ -186,7 +186,7 @@ class Coder:
 
     def places(self, words: pa.Array) -> np.ndarray:
         """Where each of these different words stands among those remembered; new ones are encoded and decoded first."""
-        if self.words.nbytes + self.ids.nbytes + self.bytes.nbytes + self.begin.nbytes * 2 > REMEMBERED_BYTES:
+        if self.words.nbytes + self.ids.nbytes + self.bytes.nbytes + self.begin.nbytes * 2 > REMEMBERED:
             self.forget()
         found = pc.index_in(words, value_set=self.words)
         missing = found.is_null()
