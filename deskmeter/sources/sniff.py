@@ -37,11 +37,21 @@ class Dialect:
 
 def kinds(cell: Column, nulls: tuple[str, ...] = NULL_WORDS) -> Column:
     """The bits of the types that a cell's text can be read as; all of them for a missing value."""
-    day = cell.rlike(DAY) & cell.try_cast("date").isNotNull()
-    moment = cell.rlike(MOMENT) & cell.try_cast("timestamp_ntz").isNotNull()
-    tests = [F.lower(cell).isin("true", "false"), cell.rlike(WHOLE), cell.rlike(NUMBER), day, day | moment, F.lit(True)]
-    bits = sum((F.when(test, 1 << i).otherwise(0) for i, test in enumerate(tests)), F.lit(0))
-    return F.when(cell.isNull() | cell.isin(*nulls), (1 << len(LATTICE)) - 1).otherwise(bits)
+    # the patterns exclude one another but for a whole number, which is a number; most cells need one or two of them
+    def bits(*names: str) -> int:
+        return sum(1 << list(LATTICE).index(n) for n in (*names, "string"))
+
+    start = F.left(cell, F.lit(1))
+    found = (
+        F.when(start.between("0", "9") | start.isin("+", "-", "."),
+               F.when(cell.rlike(WHOLE), bits("bigint", "double")).when(cell.rlike(NUMBER), bits("double"))
+               .when(start.between("0", "9") & (F.substring(cell, 5, 1) == "-"),
+                     F.when(cell.rlike(DAY) & cell.try_cast("date").isNotNull(), bits("date", "timestamp"))
+                     .when(cell.rlike(MOMENT) & cell.try_cast("timestamp_ntz").isNotNull(), bits("timestamp")).otherwise(bits()))
+               .otherwise(bits()))
+        .when(F.length(cell).between(4, 5) & F.lower(cell).isin("true", "false"), bits("boolean"))
+        .otherwise(bits()))
+    return F.when(cell.isNull() | cell.isin(*nulls), (1 << len(LATTICE)) - 1).otherwise(found)
 
 
 def narrowest(bits: int | None) -> str:
