@@ -27,6 +27,8 @@ from deskmeter.session import reliable_checkpoint
 MAX_RANGES = 1 << 18
 WHOLE, HEAD, TAIL, MIDDLE = range(4)
 _BLANK = np.isin(np.arange(256), [*b" \t\r\n"])
+_STEP = np.zeros(256, np.int8)
+_STEP[[*b"{["]], _STEP[[*b"}]"]] = 1, -1
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -44,8 +46,16 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.nda
         change = np.flatnonzero((np.diff(files) != 0) | (np.diff(begins) != 0)) + 1
         for first, last in zip([0, *change], [*change, batch.num_rows], strict=True):
             key = tuple(batch.column(c)[int(first)].as_py() for c in range(1, batch.num_columns))
-            text = "}".join(batch.column(0).slice(first, last - first).to_pylist()) + "}"
-            yield key, np.frombuffer(text.encode(), np.uint8)
+            column = batch.column(0).slice(first, last - first)
+            kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+            ends = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+            data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]] if ends[-1] else np.zeros(0, np.uint8)
+            text = np.empty(len(data) + len(column), np.uint8)
+            braces = ends[1:] - ends[0] + np.arange(len(column))
+            kept = np.ones(len(text), bool)
+            kept[braces] = False
+            text[braces], text[kept] = 125, data
+            yield key, text
 
 
 def _structure(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -55,8 +65,9 @@ def _structure(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.arange(len(raw))
         last_other = np.maximum.accumulate(np.where(slashes, -1, at))
         quotes[1:] &= (at[:-1] - last_other[:-1]) % 2 == 0
-    step = ((raw == 123) | (raw == 91)).astype(np.int8) - ((raw == 125) | (raw == 93))
-    return (np.cumsum(quotes) & 1).astype(np.int8), step
+    step = _STEP[raw]
+    # sums modulo 256 keep the parity
+    return (np.cumsum(quotes, dtype=np.uint8) & 1).astype(np.int8), step
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,8 +129,9 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kind = TAIL if state or depth > 1 else WHOLE
         odd, step = _structure(raw)
         outside = odd == state
-        after = depth + np.cumsum(np.where(outside, step, 0))
-        before = np.concatenate([[depth], after[:-1]])
+        after = np.cumsum(step * outside, dtype=np.int32)
+        after += np.int32(depth)
+        before = np.concatenate([np.array([depth], np.int32), after[:-1]])
         opens = np.flatnonzero(outside & (before == 1) & (raw == 123))
         closes = np.flatnonzero(outside & (after == 1) & (raw == 125) & (before == 2))
         between = outside & (before <= 1) & ~_BLANK[raw]
