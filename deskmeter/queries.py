@@ -72,13 +72,15 @@ def _predictions(spark, folder):
 
 
 def _mart(spark, folder):
-    return models.mart_ticket_decision(_fct(spark, folder), _predictions(spark, folder))
+    # fact and scores both read the tickets, whose joins are worth doing once
+    clean = reliable_checkpoint(src.tickets_clean(spark, folder))
+    fct = models.fct_tickets(clean, src.text(spark, folder), src.logs(spark, folder))
+    return models.mart_ticket_decision(fct, models.stg_predictions(src.predictions(spark, folder, clean=clean)))
 
 
 def _models(spark, folder):
     # in the job these are stored tables, written by the steps before
-    raw = {name: reliable_checkpoint(df) for name, df in src.raw_tables(spark, folder).items()}
-    return models.build_all(raw, store=reliable_checkpoint)
+    return models.build_all(src.raw_tables(spark, folder, reliable_checkpoint), store=reliable_checkpoint)
 
 
 def _ml(spark, folder):

@@ -7,6 +7,8 @@ equi-joins and one pre-aggregated group-by.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,12 +147,13 @@ def logs(spark: SparkSession, folder: str) -> DataFrame:
     return log_features_flat(events_flat(spark, folder))
 
 
-def predictions(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def predictions(spark: SparkSession, folder: str, keep: tuple[str, ...] = (), clean: DataFrame | None = None) -> DataFrame:
     """A score for the holdout tickets, in the layout the training step writes.
 
-    ``keep`` adds ticket columns that come from the same scan.
+    ``keep`` adds ticket columns that come from the same scan; ``clean`` are the clean tickets, where they are at hand.
     """
-    df = tickets_clean(spark, folder).where(is_test(F.col("ticket_id")))
+    clean = tickets_clean(spark, folder) if clean is None else clean
+    df = clean.where(is_test(F.col("ticket_id")))
     key = F.col("ticket_id")
     score = (key * 37) % 1000 * F.lit(0.0006) + F.col("sla_breach") * F.lit(0.35)
     return df.select(
@@ -166,12 +169,14 @@ def predictions(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) ->
     )
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, folder: str, store: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
+    """The four raw tables; with ``store`` each is materialised, and the tickets are joined together once."""
+    clean = store(tickets_clean(spark, folder))
     return {
-        "tickets_clean": tickets_clean(spark, folder),
-        "text_features": text(spark, folder),
-        "log_features": logs(spark, folder),
-        "predictions": predictions(spark, folder),
+        "tickets_clean": clean,
+        "text_features": store(text(spark, folder)),
+        "log_features": store(logs(spark, folder)),
+        "predictions": store(predictions(spark, folder, clean=clean)),
     }
 
 
