@@ -27,6 +27,7 @@ they are. Ids are integers. An empty table writes no files. Further columns are
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 from array import array
@@ -58,6 +59,10 @@ _KIND[[*b"\t\n\v\f\r "]] = 0
 _KIND[[*range(65, 91), *range(97, 123)]] = 1
 _KIND[[*range(48, 58)]] = 2
 _KIND[[39, *range(128, 256)]] = 4
+# Words of ASCII and Latin-1 letters: composed, one letter each, and lower-cased alike everywhere. The model reads a byte above
+# 160 as the character of that number (but 173), and those from 127 to 160 as characters from 289 on.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_AS_BYTES = {c: "".join(chr(b if b > 160 and b != 173 else 323 if b == 173 else 162 + b) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -165,12 +170,13 @@ class Encoder:
         self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def _encoded(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word. Lower-case ASCII letters stay as they are on their way to the model, which takes them itself."""
-        plain = [w.isascii() and w.isalpha() for w in words]
+        """The ids of each word. Words of plain letters go to the model directly, spelled as the library spells them for it."""
+        plain = [_LETTERS.fullmatch(w) is not None for w in words]
         rest = iter(self.tokenizer.encode_batch_fast(
             [w for w, is_plain in zip(words, plain, strict=True) if not is_plain], add_special_tokens=False))
-        model = self.tokenizer.model
-        return [[t.id for t in model.tokenize(w)] if is_plain else next(rest).ids for w, is_plain in zip(words, plain, strict=True)]
+        tokenize = self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(w if w.isascii() else w.lower().translate(_AS_BYTES))] if is_plain else next(rest).ids
+                for w, is_plain in zip(words, plain, strict=True)]
 
     def _numbers(self, words: pa.Array) -> np.ndarray:
         """The place of each different word among those remembered; new ones are encoded first."""
