@@ -8,8 +8,9 @@ sizes allows, so similar sets agree in a part (pigeonhole): band, part and XOR a
 set is keyed for its own band and, where it can have partners there, for the band below. Parts without shingles
 say nothing; they are keyed only for sets with too few others for the pigeonhole.
 
-Verification. The sets that share keys with one set, the hub, are a cluster. One that fits a task is searched
-there: breadth first, so that a set once reached is never compared again. A larger one is settled
+Verification. Sets that keys connect, be it through others, are searched in one task where they fit it: breadth first, so that
+a set once reached is never compared again; so a set moves to one place only. Else the sets that share keys with one set, the
+hub, are a cluster, searched likewise. A larger one is settled
 from a centre z, sets x having the differences X from it: if X and Y are disjoint, x and y are similar just if
 f(x) + f(y) <= 0 where f(x) = (q + p)|X| - (q - p)|x|, and then both are similar to the set with the
 smallest f. So one star per cluster links these, and any other similar pair shares an element of
@@ -21,7 +22,8 @@ a bucket has at most half of the cluster. Sets far from the hub go on by the ele
 Scale: equal sets are one class first (by count and two 64-bit sums of mixed hashes). Keys are counted in one
 aggregate; a bit filter of the repeated ones (``filter_bits``, a fixed bound for what is
 broadcast) lets the second reading keep keys and sets only where they can meet. It never loses a row; at sizes where it is
-full everything passes, and results are the same. Texts are never shuffled. Components come from
+full everything passes, and results are the same. What moves are the texts that share keys, as a text takes less room than the
+hashes of its shingles; sets are made of them where they are compared. Components come from
 contraction, see components.py. 64-bit hashes stand for shingles.
 
 Nulls and texts without words have empty sets, which are linked with nothing. A text with fewer
@@ -37,11 +39,12 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmeter.llm.bitfilter import BITS, build, passes
-from deskmeter.llm.common import lean, owning, release, slices, store, texts, utf8, with_rows
+from deskmeter.llm.common import lean, lengths, owning, release, slices, store, texts, utf8, with_rows
 from deskmeter.llm.components import contract, relabel
 from deskmeter.llm.words import grams, hashes, mix, spans
 
@@ -143,19 +146,28 @@ def _profiles(rule: Rule, passing):
         table = passing.value
         for batch in slices(batches, BATCH_BYTES):
             sets = shingle_sets(batch.column("text"), rule.words)
-            keys, kept = [], []
-            for s in sets:
-                k = sketch_keys(s, rule)
-                k = k[passes(table, k)]
-                keys.append(k)
-                kept.append(s if len(k) else s[:0])
+            keys = [sketch_keys(s, rule) for s in sets]
+            keys = [k[passes(table, k)] for k in keys]
+            n, text = np.array([len(s) for s in sets], np.int64), batch.column("text")
+            # what it takes in a task: the set, or the text where that is longer
+            weight = np.maximum(n, lengths(text) // 8)
             with np.errstate(over="ignore"):
                 first = [int(mix(s).sum(dtype=np.uint64)) for s in sets]
                 second = [int(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64)) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column(0), pa.array(n),
                  pa.array(np.array(first, np.uint64).view(np.int64)), pa.array(np.array(second, np.uint64).view(np.int64)),
-                 _lists(keys), _lists(kept)], ["id", "n", "s1", "s2", "keys", "shingles"])
+                 _lists(keys), pa.array(weight), pc.if_else(pa.array([len(k) > 0 for k in keys], pa.bool_()), text, pa.scalar("", text.type))],
+                ["id", "n", "s1", "s2", "keys", "weight", "text"])
+
+    return run
+
+
+def _shingled(rule: Rule):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, BATCH_BYTES):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid"), _lists(shingle_sets(batch.column("text"), rule.words))], ["rid", "shingles"])
 
     return run
 
@@ -169,14 +181,13 @@ def _inside(rule: Rule):
 
     def run(rows: pa.Table) -> pa.Table:
         rid = rows.column("rid").to_numpy()
-        lists = rows.column("shingles").combine_chunks()
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        sets = [flat[ends[i] : ends[i + 1]] for i in range(len(rid))]
-        size = np.diff(ends).astype(np.int64)
-        sketch = np.zeros((len(rid), _SKETCH_BITS), np.uint8)
+        sets = [s for part in slices(rows.to_batches(), BATCH_BYTES) for s in shingle_sets(part.column("text"), rule.words)]
+        size = np.array([len(s) for s in sets], np.int64)
+        sketch = np.zeros((len(rid), _SKETCH_BITS // 8), np.uint8)
         for i, s in enumerate(sets):
-            sketch[i] = np.bincount(s & (_SKETCH_BITS - 1), minlength=_SKETCH_BITS) & 1
-        sketch = np.packbits(sketch, axis=1).view(np.uint64)
+            low = (s & np.uint64(_SKETCH_BITS - 1)).astype(np.int64)
+            sketch[i] = np.packbits((np.bincount(low, minlength=_SKETCH_BITS) & 1).astype(np.uint8))
+        sketch = sketch.view(np.uint64)
         waiting, u, v = np.arange(len(rid)), [], []
         while len(waiting):
             queue, waiting = [waiting[0]], waiting[1:]
@@ -257,22 +268,34 @@ def _mixed(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def connect(sets: DataFrame, buckets: DataFrame, rule: Rule, task_members: int, task_elements: int) -> DataFrame | None:
-    """Labels of the linked sets; ``sets`` (rid, shingles), ``buckets`` (key, rid)."""
-    labels, sizes = None, sets.select("rid", F.size("shingles").alias("size"))
+    """Labels of the linked sets; ``sets`` (rid, weight, text), ``buckets`` (key, rid)."""
+    labels, weights, texts_of = None, sets.select("rid", "weight"), sets.select("rid", "text")
+    fits = ((F.count(F.lit(1)) <= task_members) & (F.sum("weight") <= task_elements)).alias("fits")
     # at first, the buckets of one hub are one cluster; later they must stay apart to get smaller
     cluster = F.col("hub")
     while True:
         members = store(_mixed(buckets, labels).select(cluster.alias("cluster"), "hub", "rid").distinct())
         if members.isEmpty():
             return labels
-        fits = (F.count(F.lit(1)) <= task_members) & (F.sum("size") <= task_elements)
-        clusters = store(members.join(sizes, "rid").groupBy("cluster").agg(fits.alias("fits")))
-        small = members.join(clusters.where("fits").select("cluster"), "cluster").join(sets, "rid")
-        links = store(small.select("cluster", "rid", "shingles").groupBy("cluster").applyInArrow(_inside(rule), "u bigint, v bigint"))
+        small = None
+        if labels is None:  # what hangs together and fits a task as a whole goes there once, not with each of its hubs
+            whole = contract(members.select(F.col("hub").alias("u"), F.col("rid").alias("v")))
+            members = store(relabel(whole, members.withColumn("whole", F.col("hub")), "whole"))
+            each = members.select(F.col("whole").alias("cluster"), "rid").distinct()
+            wholes = store(each.join(weights, "rid").groupBy("cluster").agg(fits).where("fits").select("cluster"))
+            small = each.join(wholes, "cluster")
+            members = store(members.join(wholes.withColumnRenamed("cluster", "whole"), "whole", "left_anti").drop("whole"))
+        clusters = store(members.join(weights, "rid").groupBy("cluster").agg(fits))
+        apart = members.join(clusters.where("fits").select("cluster"), "cluster").select("cluster", "rid")
+        small = (apart if small is None else small.unionByName(apart)).join(texts_of, "rid")
+        links = store(small.select("cluster", "rid", "text").groupBy("cluster").applyInArrow(_inside(rule), "u bigint, v bigint"))
         large = clusters.where(~F.col("fits")).select("cluster")
         if large.isEmpty():
             return contract(links, labels)
-        more, buckets = _large(store(members.join(large, "cluster")), sets, rule)
+        members = store(members.join(large, "cluster"))
+        used = texts_of.join(members.select("rid"), "rid", "left_semi")
+        used = store(used.mapInArrow(_shingled(rule), "rid bigint, shingles array<bigint>"))
+        more, buckets = _large(members, used, rule)
         buckets, cluster = store(buckets), F.col("key")
         labels = contract(links.unionByName(more), labels)
 
@@ -285,13 +308,13 @@ def near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", te
     kind = rows.schema["id"].dataType.simpleString()
     repeated = store(rows.select("text").mapInArrow(_keys_only(rule), "key bigint").groupBy("key").count().where("count > 1").select("key"))
     passing = docs.sparkSession.sparkContext.broadcast(build(repeated, filter_bits))
-    schema = f"id {kind}, n bigint, s1 bigint, s2 bigint, keys array<bigint>, shingles array<bigint>"
+    schema = f"id {kind}, n bigint, s1 bigint, s2 bigint, keys array<bigint>, weight bigint, text string"
     profiles = store(rows.mapInArrow(_profiles(rule, passing), schema)
                      .withColumn("rid", F.monotonically_increasing_id()))
     plain = profiles.select("rid", "id", "n", "s1", "s2")
     classes = store(plain.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("rid").alias("class"), F.min("id").alias("least")))
     keys = profiles.select("rid", "keys").join(classes.select(F.col("class").alias("rid")), "rid", "left_semi")
-    sets = profiles.where(F.size("keys") > 0).select("rid", "shingles")
+    sets = profiles.where(F.size("keys") > 0).select("rid", "weight", "text")
     labels = connect(sets, keys.select(F.explode("keys").alias("key"), "rid"), rule, task_members, task_elements)
     labelled = store(relabel(labels, classes.withColumn("label", F.col("class")), "label"))
     least = store(labelled.groupBy("label").agg(F.min("least").alias("component_id")))

@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from deskmeter.llm import jaccard_join
 from deskmeter.llm.components import contract
 from deskmeter.llm.jaccard_join import Rule, drop_near_copies, near_copies, sketch_keys
 from deskmeter.llm.queries import ORACLE, QUERIES
@@ -76,6 +77,36 @@ def test_components_as_brute_force(documents, k, p, members):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == {i: (len(sets[i]), want[i]) for i in want}
 
 
+def test_a_set_moves_to_one_task_where_its_component_fits(spark, documents, monkeypatch):
+    moved, inside = spark.sparkContext.accumulator(0), jaccard_join._inside
+
+    def counted(rule):
+        search = inside(rule)
+
+        def run(rows):
+            moved.add(rows.num_rows)
+            return search(rows)
+
+        return run
+
+    monkeypatch.setattr(jaccard_join, "_inside", counted)
+    texts = list(dict.fromkeys(near_family(random.Random(2), 60)))
+    found = near_copies(documents(*enumerate(texts)), Rule()).collect()
+    want = components(sets_of(list(enumerate(texts)), 5), 80, 100)
+    assert {r["doc_id"]: r["component_id"] for r in found} == want
+    assert 0 < moved.value <= len(texts)
+
+
+@pytest.mark.parametrize("elements", [10, 2_000_000])
+def test_texts_much_longer_than_their_sets(documents, elements):
+    """Words that repeat make few shingles; what a task takes counts the texts."""
+    rows = [(i, " ".join(["a b c d e f g h i j k l m n o p q r s t"] * n + tail)) for i, (n, tail) in enumerate(
+        [(3, []), (400, []), (400, ["x"]), (900, ["y z"]), (1, []), (1, ["x"]), (2, ["1 2 3 4 5 6 7 8 9 10 11 12"])])]
+    want = components(sets_of(rows, 5), 80, 100)
+    found = near_copies(documents(*rows), Rule(), task_elements=elements).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == want
+
+
 def test_similar_sets_share_a_key():
     import numpy as np
 
