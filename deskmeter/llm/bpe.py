@@ -7,8 +7,8 @@ word has a pair left; a word that is a token itself is that token. Decoding join
 vocabulary and puts the bytes together by an ordered aggregate.
 
 Scale: no exchange; Spark deals out the rows, and DuckDB (one thread, in memory, no files) sees the
-distinct words of one batch of ``BATCH_BYTES``. Known words are remembered in Arrow and numpy arrays, of
-``REMEMBERED`` at most, whatever the number of tasks of a worker.
+distinct words of one batch of ``BATCH_BYTES``. Known words are remembered in Arrow and numpy arrays, ``REMEMBERED`` words
+in ``REMEMBERED_BYTES`` at most, whatever the number of tasks of a worker.
 The rounds of the query grow with a word's length, so words over ``LONG`` bytes (which
 natural text hardly has) are contracted by the same rule with a heap. Long texts are
 worked through in stretches of ``STRETCH`` words. What is sent to the executors is the vocabulary file.
@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain, islice
@@ -36,7 +37,8 @@ from pyspark.sql import functions as F
 
 from deskmeter.llm.common import give_back, lean, lengths, slices, texts
 
-BATCH_BYTES, STRETCH, REMEMBERED, LONG, QUERY_WORDS = 2 << 20, 400_000, 48 << 20, 256, 20_000
+BATCH_BYTES, STRETCH, LONG, QUERY_WORDS = 2 << 20, 400_000, 256, 20_000
+REMEMBERED, REMEMBERED_BYTES = 1_500_000, 48 << 20
 
 # fixed values: code points that the pattern engine here counts as letters or numbers and the tokenizer's
 # library, with an older Unicode version, does not
@@ -51,27 +53,27 @@ _NEWER = (
     "\\U0002b73a-\\U0002b73f\\U0002b81e\\U0002cea2-\\U0002cead\\U000323b0-\\U00033479\\U0003d000-\\U0003fc3f"
 )
 
+#: All of them are from here on; the search for this range is many times faster than for the list.
+_LATE = re.compile("[\u0558-\U0010ffff]")
+
 _CONTRACT = """
-WITH RECURSIVE step(round, word, pos, id) AS (
-  SELECT 0, word, pos, id FROM bytes_of_words
+WITH RECURSIVE step(word, pos, id, done) AS (
+  SELECT word, pos, id, false FROM bytes_of_words
   UNION ALL (
-    WITH neighbours AS (
-      SELECT *, lead(id) OVER w AS next_id, lag(pos) OVER w AS before
-      FROM step WINDOW w AS (PARTITION BY word ORDER BY pos)),
+    WITH neighbours AS (  -- one order of all rows; the neighbour must be of the same word
+      SELECT word, pos, id, CASE WHEN lead(word) OVER w = word THEN lead(id) OVER w END AS next_id,
+             CASE WHEN lag(word) OVER w = word THEN lag(pos) OVER w END AS before
+      FROM step WHERE NOT done WINDOW w AS (ORDER BY word, pos)),
     ranked AS (
       SELECT n.*, m.id AS merged FROM neighbours n LEFT JOIN merges m ON m.l = n.id AND m.r = n.next_id),
-    best AS (  -- smallest rank first, then leftmost
-      SELECT word, min(merged::BIGINT * 65536 + pos) % 65536 AS spot
-      FROM ranked WHERE merged IS NOT NULL GROUP BY word),
-    marked AS (SELECT r.*, b.spot FROM ranked r JOIN best b USING (word))
-    SELECT round + 1, word, pos, CASE WHEN pos = spot THEN merged ELSE id END
-    FROM marked WHERE before IS DISTINCT FROM spot))
-SELECT s.word, s.pos, s.id
-FROM step s JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) l USING (word, round)
-ORDER BY s.word, s.pos
+    best AS (  -- smallest rank first, then leftmost; none: the word is done
+      SELECT word, min(merged::BIGINT * 65536 + pos) % 65536 AS spot FROM ranked GROUP BY word)
+    SELECT word, pos, CASE WHEN pos = spot THEN merged ELSE id END, spot IS NULL
+    FROM ranked JOIN best USING (word) WHERE spot IS NULL OR before IS DISTINCT FROM spot))
+SELECT word, pos, id FROM step WHERE done ORDER BY word, pos
 """
 _DECODE = """
-SELECT row, string_agg(hex(token), '' ORDER BY pos) AS bytes
+SELECT row, array_to_string(list(digits ORDER BY pos), '') AS bytes
 FROM id_rows LEFT JOIN vocabulary USING (id) GROUP BY row ORDER BY row
 """
 
@@ -106,7 +108,7 @@ class Coder:
         if self._db is None:
             self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
             self._load("merges", self.merges)
-            self._load("vocabulary", {"id": np.array(list(self.tokens), np.int32), "token": list(self.tokens.values())})
+            self._load("vocabulary", {"id": np.array(list(self.tokens), np.int32), "digits": [t.hex() for t in self.tokens.values()]})
         return self._db
 
     def rest(self) -> None:
@@ -123,7 +125,8 @@ class Coder:
 
     def pattern(self, text: str):
         """The pattern as the tokenizer's library reads it."""
-        return self.careful if not text.isascii() and self.newer.search(text) else self.usual
+        newer = not text.isascii() and _LATE.search(text) and self.newer.search(text)
+        return self.careful if newer else self.usual
 
     # -- words ---------------------------------------------------------------------------------
     def contract(self, words: list[bytes]) -> list[np.ndarray]:
@@ -186,7 +189,8 @@ class Coder:
 
     def places(self, words: pa.Array) -> np.ndarray:
         """Where each of these different words stands among those remembered; new ones are encoded and decoded first."""
-        if self.words.nbytes + self.ids.nbytes + self.bytes.nbytes + self.begin.nbytes * 2 > REMEMBERED:
+        size = self.words.nbytes + self.ids.nbytes + self.bytes.nbytes + self.begin.nbytes * 2
+        if len(self.words) > REMEMBERED or size > REMEMBERED_BYTES:
             self.forget()
         found = pc.index_in(words, value_set=self.words)
         missing = found.is_null()

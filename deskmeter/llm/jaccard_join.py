@@ -10,7 +10,7 @@ say nothing; they are keyed only for sets with too few others for the pigeonhole
 
 Verification. Sets that keys connect, be it through others, are searched in one task where they fit it: breadth first, so that
 a set once reached is never compared again; so a set moves to one place only. Else the sets that share keys with one set, the
-hub, are a cluster, searched likewise. A larger one is settled
+hub, are a cluster, searched likewise, unless another one that fits holds all of it. A larger one is settled
 from a centre z, sets x having the differences X from it: if X and Y are disjoint, x and y are similar just if
 f(x) + f(y) <= 0 where f(x) = (q + p)|X| - (q - p)|x|, and then both are similar to the set with the
 smallest f. So one star per cluster links these, and any other similar pair shares an element of
@@ -267,6 +267,14 @@ def _mixed(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(several, "key").select("key", "hub", "rid")
 
 
+def _inner(members: DataFrame) -> DataFrame:
+    """(cluster, outer): clusters whose members are all in one other cluster, the first that each of them is in."""
+    firsts = members.groupBy("rid").agg(F.min("cluster").alias("outer"))
+    by = members.join(firsts, "rid").groupBy("cluster").agg(F.min("outer").alias("outer"), F.max("outer").alias("last"))
+    # its members have it as their first, so the outer cluster itself is never inside another
+    return by.where((F.col("outer") == F.col("last")) & (F.col("outer") != F.col("cluster"))).select("cluster", "outer")
+
+
 def connect(sets: DataFrame, buckets: DataFrame, rule: Rule, task_members: int, task_elements: int) -> DataFrame | None:
     """Labels of the linked sets; ``sets`` (rid, weight, text), ``buckets`` (key, rid)."""
     labels, weights, texts_of = None, sets.select("rid", "weight"), sets.select("rid", "text")
@@ -277,8 +285,8 @@ def connect(sets: DataFrame, buckets: DataFrame, rule: Rule, task_members: int,
         members = store(_mixed(buckets, labels).select(cluster.alias("cluster"), "hub", "rid").distinct())
         if members.isEmpty():
             return labels
-        small = None
-        if labels is None:  # what hangs together and fits a task as a whole goes there once, not with each of its hubs
+        small, first = None, labels is None
+        if first:  # what hangs together and fits a task as a whole goes there once, not with each of its hubs
             whole = contract(members.select(F.col("hub").alias("u"), F.col("rid").alias("v")))
             members = store(relabel(whole, members.withColumn("whole", F.col("hub")), "whole"))
             each = members.select(F.col("whole").alias("cluster"), "rid").distinct()
@@ -286,6 +294,9 @@ def connect(sets: DataFrame, buckets: DataFrame, rule: Rule, task_members: int,
             small = each.join(wholes, "cluster")
             members = store(members.join(wholes.withColumnRenamed("cluster", "whole"), "whole", "left_anti").drop("whole"))
         clusters = store(members.join(weights, "rid").groupBy("cluster").agg(fits))
+        if first:
+            outer = _inner(members).join(clusters.where("fits").select(F.col("cluster").alias("outer")), "outer")
+            clusters = store(clusters.join(outer, "cluster", "left_anti"))
         apart = members.join(clusters.where("fits").select("cluster"), "cluster").select("cluster", "rid")
         small = (apart if small is None else small.unionByName(apart)).join(texts_of, "rid")
         links = store(small.select("cluster", "rid", "text").groupBy("cluster").applyInArrow(_inside(rule), "u bigint, v bigint"))

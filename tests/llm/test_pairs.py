@@ -97,6 +97,12 @@ def test_a_set_moves_to_one_task_where_its_component_fits(spark, documents, monk
     assert 0 < moved.value <= len(texts)
 
 
+def test_clusters_inside_another(spark):
+    members = [(1, r) for r in (1, 2, 3, 4)] + [(2, 2), (2, 3), (3, 3), (3, 4), (3, 9), (5, 5), (5, 6), (6, 6), (6, 7)]
+    found = jaccard_join._inner(spark.createDataFrame(members, "cluster long, rid long")).collect()
+    assert {tuple(r) for r in found} == {(2, 1)}
+
+
 @pytest.mark.parametrize("elements", [10, 2_000_000])
 def test_texts_much_longer_than_their_sets(documents, elements):
     """Words that repeat make few shingles; what a task takes counts the texts."""

@@ -72,6 +72,26 @@ def test_bpe_in_stretches(monkeypatch, library):
         assert coder.contract_long(word) == coder.contract([word])[0].tolist()
 
 
+def test_bpe_looks_for_newer_letters_only_where_they_can_be(monkeypatch, library):
+    coder, asked = bpe.Coder(open(PATH, "rb").read(), PATTERN), []
+    search = coder.newer.search
+    monkeypatch.setattr(coder, "newer", type("Counted", (), {"search": lambda self, t: asked.append(t) or search(t)})())
+    texts = ["déjà vu 12", "слово", "a\u0557b", "a\u0558b 1", "日本 x", "a\U0003fc3f b", "x\u0c5cy"]
+    assert [list(x) for x in coder.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+    assert asked == texts[3:]
+    assert [coder.pattern(t) is coder.careful for t in texts] == [False, False, False, True, False, True, True]
+
+
+def test_bpe_finished_words_leave_the_rounds(library):
+    coder = bpe.Coder(open(PATH, "rb").read(), PATTERN)
+    words = [b"zq", b" anhaha", b"\xff\xfe", "é".encode() * 30, b"ab" * 128, b"x"]
+    own = coder.contract(words)
+    assert [x.tolist() for x in own] == [coder.contract_long(w) for w in words]
+    assert coder.decode(own) == words
+    steps = coder.db.execute(bpe._CONTRACT.replace("WHERE done ORDER BY word, pos", "WHERE done")).fetchall()
+    assert len(steps) == sum(map(len, own))  # every word is told once, in the round in which it has no pair left
+
+
 @pytest.mark.parametrize("size", [1, 1000, 4 << 20])
 def test_token_counts_as_the_library(documents, some, size):
     import sentencepiece
