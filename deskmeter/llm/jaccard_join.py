@@ -5,8 +5,11 @@ shingles' hashes: a shingle of both sets cancels out, so one that is in a single
 just one part, and the number of parts that differ is at most the symmetric difference d. Sets
 with similarity p/q or more have d <= (q - p) / (q + p) * (|A| + |B|). P exceeds the largest d that a band of
 sizes allows, so similar sets agree in a part (pigeonhole): band, part and XOR are a join key. A
-set is keyed for its own band and, where it can have partners there, for the band below. Parts without shingles
-say nothing; they are keyed only for sets with too few others for the pigeonhole.
+set is keyed for its own band and, where it can have partners there, for the band below. Of its parts with shingles, a set
+that may differ in D parts from similar ones keys the first D + 1 only, in an order that all sets share: the parts with most shingles
+first, equal ones by place. The first part on which two similar sets agree is among these in both, as all before it differ. So chance
+seldom makes sets meet, for which a part with few shingles is enough. Parts without shingles
+say nothing; they are keyed only, with all others, for sets with at most D others.
 
 Verification. Sets that keys connect, be it through others, are searched in one task where they fit it: breadth first, so that
 a set once reached is never compared again; so a set moves to one place only. Else the sets that share keys with one set, the
@@ -112,11 +115,14 @@ def sketch_keys(found: np.ndarray, rule: Rule) -> np.ndarray:
 
 def _band_keys(found: np.ndarray, band: int, rule: Rule, edges: np.ndarray) -> np.ndarray:
     most = rule.most(int(edges[band + 1]) - 1)
-    parts = most + 2 + most // 8
+    parts, differ = most + 2 + most // 8, min(most, rule.most(len(found)))
     part = ((found >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # rises with the hash
     first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
     used, parity = part[first], np.bitwise_xor.reduceat(mix(found + np.uint64(1)), first)
-    if len(used) <= most:
+    if len(used) > differ:
+        fullest = np.argsort(np.diff(first, append=len(found)) * -1, kind="stable")[: differ + 1]
+        used, parity = used[fullest], parity[fullest]
+    else:
         full = np.zeros(parts, np.uint64)
         full[used.astype(np.int64)] = parity
         used, parity = np.arange(parts, dtype=np.uint64), full
@@ -336,7 +342,8 @@ def near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", te
         "rid", F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("class").alias("class_id"))
 
 
-def drop_near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text",
+                     filter_bits: int = BITS) -> DataFrame:
     """``docs`` with one row of each component, the one with the smallest id; all columns kept.
 
     Documents with empty sets are linked with nothing and stay. Rows are decided one by one: a row without an id
@@ -345,6 +352,16 @@ def drop_near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id
     rows, key, row = with_rows(docs, id_col)
     with owning() as used:
         found = near_copies(rows, rule, key, text_col)
-        kept = store(found.where(F.col(key)["row"] == F.col("component_id")["row"]).select(F.col(key)["row"].alias("_kept")))
+        gone = store(found.where(F.col(key)["row"] != F.col("component_id")["row"]).select(F.col(key)["row"].alias("_gone")))
     release(docs.sparkSession, used[:-1])  # what the search has stored
-    return rows.join(kept, rows[row] == F.col("_kept"), "left_semi").select(*docs.columns)
+    passing = docs.sparkSession.sparkContext.broadcast(build(gone.select(F.xxhash64("_gone").alias("key")), filter_bits))
+
+    @F.arrow_udf("boolean")
+    def maybe(key: pa.Array) -> pa.Array:
+        return pa.array(passes(passing.value, key.to_numpy().view(np.uint64)))
+
+    # only rows that may be dropped move; a full filter lets all of them pass, with the same result
+    rows = rows.withColumn(key, maybe(F.xxhash64(row)))
+    stays = rows.where(~F.col(key))
+    moved = rows.where(F.col(key)).join(gone, F.col(row) == F.col("_gone"), "left_anti")
+    return stays.unionByName(moved).select(*docs.columns)

@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
 from deskmeter.llm import jaccard_join
+from deskmeter.llm.common import store
 from deskmeter.llm.components import contract
 from deskmeter.llm.jaccard_join import Rule, drop_near_copies, near_copies, sketch_keys
 from deskmeter.llm.queries import ORACLE, QUERIES
@@ -126,6 +128,67 @@ def test_similar_sets_share_a_key():
             assert len(np.intersect1d(sketch_keys(a, rule), sketch_keys(b, rule)))
 
 
+def test_a_set_keys_no_more_parts_than_similar_ones_may_differ_in():
+    import numpy as np
+
+    rng, rule = np.random.default_rng(4), Rule(5, 80, 100)
+    for size in [40, 95, 100, 150, 333, 1200, 5000]:
+        edges, most = jaccard_join.bands(rule), rule.most(size)
+        below = -(-size * 80 // 100) < edges[edges <= size][-1]
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            assert len(sketch_keys(a, rule)) <= (most + 1) * (2 if below else 1)
+            kept, more = a[rng.permutation(size)[rng.integers(0, most + 1) :]], rng.integers(0, 2**64, rng.integers(0, most + 1), dtype=np.uint64)
+            b = np.unique(np.concatenate([kept, more]))
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= 80 * (len(a) + len(b) - common):
+                assert len(np.intersect1d(sketch_keys(a, rule), sketch_keys(b, rule)))
+
+
+def test_texts_with_a_common_passage_meet_seldom(spark, documents, monkeypatch):
+    moved, inside = spark.sparkContext.accumulator(0), jaccard_join._inside
+
+    def counted(rule):
+        search = inside(rule)
+
+        def run(rows):
+            moved.add(rows.num_rows)
+            return search(rows)
+
+        return run
+
+    monkeypatch.setattr(jaccard_join, "_inside", counted)
+    rng = random.Random(3)
+    texts = [" ".join(["the same twelve words of a common passage begin every text in here"] + [f"w{rng.randrange(10**6)}" for _ in range(90 + i % 60)]) for i in range(300)]
+    found = near_copies(documents(*enumerate(texts)), Rule()).collect()
+    assert all(r["doc_id"] == r["component_id"] for r in found) and moved.value < 100
+
+
+@pytest.mark.parametrize("bits", [6, 20])
+def test_rows_that_surely_stay_do_not_move(spark, documents, folder, bits):
+    """Also with a filter that is full."""
+    rng = random.Random(6)
+    rows = list(enumerate([*near_family(rng, 40), *(" ".join(rng.choice("abcdefgh") * 3 for _ in range(30)) for _ in range(200))]))
+    frame = spark.read.parquet(f"{folder(documents=documents(*rows))}/documents.parquet")
+    kept = drop_near_copies(frame, Rule(), filter_bits=bits)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(components(sets_of(rows, 5), 80, 100).values()))
+    plan = kept._jdf.queryExecution().analyzed().toString()
+    assert "Union" in plan and "LeftSemi" not in plan
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (found.apply(i).getName() for i in range(found.size())) if f.startswith("shuffle_")}
+
+    before = files()
+    store(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
+    until = time.time() + 10
+    while (left := files() - before) and time.time() < until:  # they go in the background
+        time.sleep(0.1)
+    assert not left
+
+
 def test_near_copies_dropped(documents):
     frame = documents((5, "a b c d e f"), (3, "A b c d e f"), (3, "A b c d e f"), (9, None), (8, ""), (7, "q"), extra=("label",))
     assert sorted(r["doc_id"] for r in drop_near_copies(frame).collect()) == [3, 7, 8, 9]
