@@ -15,10 +15,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deskmeter.session import shared_dir
+from deskmeter.session import shared_dir, without_shuffles
 
 _MMAP_THRESHOLD, _ARENA_MAX = -3, -8  # numbers of glibc's mallopt
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _owner: ContextVar[list[str] | None] = ContextVar("owner", default=None)
 
 
@@ -27,25 +26,11 @@ def store(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/deskmeter-tables/{uuid.uuid4().hex}"
     if (mine := _owner.get()) is not None:
         mine.append(path)
-    with _without_shuffles(df.sparkSession):
+    with without_shuffles(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def _without_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what runs meanwhile go as soon as it has ended, not when the driver happens to collect its garbage."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-
-
 @contextmanager
 def owning() -> Iterator[list[str]]:
     """The folders of the tables that ``store`` writes meanwhile, in this thread of control."""

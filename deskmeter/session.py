@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,7 @@ def get_session(master: str | None = None, app: str = "deskmeter", **extra: str)
 
 
 _test_folder: str | None = None
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -61,3 +64,17 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/deskmeter-tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def without_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs meanwhile go as soon as it has ended, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)

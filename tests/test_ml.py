@@ -201,3 +201,39 @@ def test_svm_separates_a_ring(spark):
     scored = learners.svm_scores(df.where("id < 450"), df.where("id >= 450"), components=256, iterations=20)
     row = metrics.evaluate(scored.withColumn("model", F.lit("svm"))).first()
     assert row["f1"] > 0.9 and row["roc_auc"] > 0.97
+
+
+def test_cosine_of_turns():
+    turns = np.random.default_rng(2).normal(size=(50, 7)) * 20
+    turns[0] = [0, 0.25, 0.5, 0.75, 1, -0.5, -3.25]
+    found = turns.copy()
+    learners._cosine(found)
+    assert np.abs(found - np.cos(2 * np.pi * (turns - np.rint(turns)))).max() < 1e-15
+
+
+@pytest.mark.parametrize("parts, c", [(1, 1.0), (5, 0.1)])
+def test_linear_machine_ends_near_the_optimum_after_some_passes(spark, monkeypatch, parts, c):
+    from pyspark.ml.classification import LinearSVC
+
+    passes, sums = [], learners._sums
+    monkeypatch.setattr(learners, "_sums", lambda *a: passes.append(1) or sums(*a))
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 4))
+    y = ((x[:, 0] ** 2 + x[:, 1] + rng.normal(size=900)) > 1).astype(int)
+    rows = [(i, int(b), list(map(float, v))) for i, (v, b) in enumerate(zip(x, y, strict=True))]
+    df = spark.createDataFrame(rows, "id long, label int, features array<double>").repartition(parts, "id")
+    w, b, objective = learners.linear_machine(df, 0.3, 4, c, 64)
+    z = learners.fourier_features(df, 0.3, 4, 64).collect()
+    a, sign = np.array([r["features"] for r in z]), np.array([2 * r["label"] - 1 for r in z])
+
+    def value(w, b):
+        return w @ w / 2 + c * np.maximum(0, 1 - sign * (a @ w + b)).sum()
+
+    other = LinearSVC(maxIter=1000, regParam=1 / (c * 900), standardization=False).fit(learners._vectors(learners.fourier_features(df, 0.3, 4, 64)))
+    assert objective == pytest.approx(value(w, b)) and objective <= value(other.coefficients.toArray(), other.intercept) * (1 + learners.GAP)
+    assert len(passes) < 60
+
+
+def test_linear_machine_of_one_class(spark):
+    df = spark.createDataFrame([(i, 1, [float(i % 5), 1.0]) for i in range(40)], "id long, label int, features array<double>")
+    assert {r["y_pred"] for r in learners.svm_scores(df, df, components=16).collect()} == {1}
